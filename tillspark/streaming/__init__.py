@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads files once and has no stream, watermark, window-over-time or state
+handling, so there is no streaming operator to rebuild. Every operator here is a
+batch DataFrame plan; the same plans run on a micro-batch (``foreachBatch``) if a
+caller needs that.
+"""
