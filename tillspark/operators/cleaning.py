@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +27,17 @@ def normalize_text(df: DataFrame) -> DataFrame:
     """
     if df.columns[:len(schemas.RAW_COLUMNS)] != schemas.RAW_COLUMNS and len(df.columns) == len(schemas.RAW_COLUMNS):
         df = df.toDF(*schemas.RAW_COLUMNS)
-    desc = title_case(strip_all("Description"))
-    return df.withColumns({
+    # Title case is a higher-order function (interpreted): compute it once, then test it.
+    titled = df.withColumns({
         "Invoice": strip_all(F.col("Invoice").cast("string")),
         "StockCode": F.upper(strip_all(F.col("StockCode").cast("string"))),
-        "Description": F.when(is_missing_text(desc), F.lit(None).cast("string")).otherwise(desc),
+        "Description": title_case(strip_all("Description")),
         "Quantity": F.col("Quantity").cast("int"),
         "CustomerID": F.col("CustomerID").cast("bigint"),
         "Country": strip_all(F.col("Country").cast("string")),
     })
+    return titled.withColumn("Description", F.when(is_missing_text("Description"), F.lit(None).cast("string"))
+                             .otherwise(F.col("Description")))
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -79,7 +82,13 @@ def fill_by_group_mode(df: DataFrame, key: str = "StockCode", col: str = "Descri
 
     Only the lines that need a fill meet the mode table; lines that already have a
     value pass through untouched, so the fact-sized side is never shuffled for the join.
+    The input is persisted because it is read three times; a lost block is recomputed
+    from its lineage with the same content.
     """
+    # The lines are read three times (modes, complete, missing). Without a cache the
+    # branch filters are pushed below the de-duplication, the branches stop sharing
+    # one exchange, and scan + de-duplication would run three times.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     modes = group_mode(df, key, col)
     complete = df.filter(F.col(col).isNotNull())
     missing = (df.filter(F.col(col).isNull())
