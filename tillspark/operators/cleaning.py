@@ -145,8 +145,8 @@ def baseline_audit(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("Price") <= 0).alias("nonpositive_price"),
         F.count_if(F.col("Invoice").startswith("C")).alias("cancelled_rows"),
     )
-    distinct_rows = norm.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return totals.crossJoin(F.broadcast(distinct_rows)).select(
-        "total_rows", (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"),
+    distinct_rows = norm.distinct().agg(F.count(F.lit(1))).scalar()
+    return totals.select(
+        "total_rows", (F.col("total_rows") - distinct_rows).alias("duplicate_rows"),
         "missing_customer", "missing_description", "negative_quantity", "nonpositive_price",
         "cancelled_rows")

@@ -23,11 +23,11 @@ def _money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def _as_of(w: Warehouse, as_of: _dt.date | str | None) -> DataFrame:
-    """One-row table with the reference date: given, or the last sale date."""
+def _as_of(w: Warehouse, as_of: _dt.date | str | None) -> Column:
+    """Reference date: given, or the last sale date (a scalar subquery, run once)."""
     if as_of is None:
-        return w.dim_date.agg(F.max("full_date").alias("as_of"))
-    return w.sales.sparkSession.range(1).select(F.lit(as_of).cast("date").alias("as_of"))
+        return w.dim_date.agg(F.max("full_date")).scalar()
+    return F.lit(as_of).cast("date")
 
 
 # ---------------------------------------------------------------------------
@@ -101,7 +101,7 @@ def q04_top_products(w: Warehouse, k: int = 20) -> DataFrame:
 def q05_revenue_by_country(w: Warehouse) -> DataFrame:
     """Revenue per country and region with its share of the total.
 
-    The total is a one-row aggregate of the per-country table, broadcast to it.
+    The total is a scalar subquery over the per-country table.
     """
     f = w.fact.join(w.dim_country, "country_key")
     per = f.groupBy("country_name", "region").agg(
@@ -109,9 +109,9 @@ def q05_revenue_by_country(w: Warehouse) -> DataFrame:
         F.sum("quantity").cast("bigint").alias("total_units"),
         F.count_distinct("customer_key").alias("num_customers"),
         F.count_distinct("invoice_no").alias("num_invoices"))
-    total = per.agg(F.sum("_rev").alias("_total"))
-    pct = F.round(_money("_rev") * 100.0 / _money("_total"), 2)
-    return (per.crossJoin(F.broadcast(total))
+    total = per.agg(F.sum("_rev")).scalar()
+    pct = F.round(_money("_rev") * 100.0 / total.cast("double"), 2)
+    return (per
             .select("country_name", "region", _money("_rev").alias("total_revenue"), "total_units",
                     "num_customers", "num_invoices", pct.alias("revenue_pct"))
             .orderBy(F.col("total_revenue").desc(), "country_name"))
@@ -140,9 +140,8 @@ def rfm_scores(w: Warehouse, k: int = schemas.RFM_TILES, recent_is_high: bool =
                 F.max("full_date").alias("last_purchase_date"),
                 F.count_distinct("invoice_no").alias("frequency"),
                 F.sum("total_revenue").alias("monetary")))
-    ref = base.agg(F.max("last_purchase_date").alias("_ref"))
-    scored = base.crossJoin(F.broadcast(ref)).withColumn(
-        "recency_days", F.datediff(F.col("_ref"), F.col("last_purchase_date"))).drop("_ref")
+    ref = base.agg(F.max("last_purchase_date")).scalar()
+    scored = base.withColumn("recency_days", F.datediff(ref, F.col("last_purchase_date")))
     rec_order = F.col("recency_days").desc() if recent_is_high else F.col("recency_days").asc()
     scored = scalable_ntile(scored, k, [rec_order, F.col("customer_key")], out="r_score")
     scored = scalable_ntile(scored, k, [F.col("frequency"), F.col("customer_key")], out="f_score")
@@ -195,8 +194,7 @@ def q09_risk_trend(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
     """
     ir = inventory_risk(w, high, medium, forecast_qty)
     ref = _as_of(w, as_of)
-    recent_lines = (w.fact_dated().crossJoin(F.broadcast(ref))
-                    .filter(F.col("full_date") >= F.add_months(F.col("as_of"), -3)))
+    recent_lines = w.fact_dated().filter(F.col("full_date") >= F.add_months(ref, -3))
     monthly = recent_lines.groupBy("product_key", "year_month").agg(F.sum("quantity").alias("qty"))
     recent = (monthly.join(w.dim_product, "product_key").groupBy("stock_code")
               .agg(F.round(F.avg("qty"), 0).alias("last_3m_avg_qty")))
@@ -213,8 +211,8 @@ def q09_risk_trend(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
 def q10_kpis(w: Warehouse, as_of: _dt.date | str | None = None, days: int = 30) -> DataFrame:
     """One KPI row: all-time totals and the last ``days`` days before ``as_of``."""
     ref = _as_of(w, as_of)
-    f = w.fact_dated().crossJoin(F.broadcast(ref))
-    recent = F.col("full_date") >= F.date_sub(F.col("as_of"), days)
+    f = w.fact_dated()
+    recent = F.col("full_date") >= F.date_sub(ref, days)
     known = F.col("customer_key") != schemas.GUEST_KEY
     agg = f.agg(
         F.sum("total_revenue").alias("_rev"),
@@ -296,18 +294,20 @@ def eda_summary(cleaned: DataFrame) -> DataFrame:
     earlier month.
     """
     monthly = cleaned.groupBy("YearMonth").agg(F.sum("TotalRevenue").alias("_m"))
-    months = monthly.agg(
-        _money(F.sum("_m")).alias("_sum_m"), F.count(F.lit(1)).alias("_n_m"),
-        F.min_by("YearMonth", F.struct((-F.col("_m")).alias("a"), F.col("YearMonth").alias("b"))).alias("peak_month"),
-        F.min_by("YearMonth", F.struct(F.col("_m").alias("a"), F.col("YearMonth").alias("b"))).alias("lowest_month"))
+    months = monthly.select(F.struct(
+        _money(F.sum("_m")).alias("sum_m"), F.count(F.lit(1)).alias("n_m"),
+        F.min_by("YearMonth", F.struct((-F.col("_m")).alias("a"), F.col("YearMonth").alias("b"))).alias("peak"),
+        F.min_by("YearMonth", F.struct(F.col("_m").alias("a"), F.col("YearMonth").alias("b"))).alias("low"))
+    ).scalar()
     totals = cleaned.agg(
         _money(F.sum("TotalRevenue")).alias("total_revenue"),
         F.count_distinct("StockCode").alias("unique_products"),
         F.count_distinct("CustomerID").alias("unique_customers"),
         F.count_distinct("Country").alias("countries"))
-    return totals.crossJoin(F.broadcast(months)).select(
-        "total_revenue", (F.col("_sum_m") / F.col("_n_m")).alias("avg_monthly_revenue"),
-        "peak_month", "lowest_month", "unique_products", "unique_customers", "countries")
+    return totals.select(
+        "total_revenue", (months.getField("sum_m") / months.getField("n_m")).alias("avg_monthly_revenue"),
+        months.getField("peak").alias("peak_month"), months.getField("low").alias("lowest_month"),
+        "unique_products", "unique_customers", "countries")
 
 
 def dataset_summary(cleaned: DataFrame) -> DataFrame:
