@@ -209,3 +209,8 @@ def round_avg_cents(col: str, scale: int) -> str:
     step = 10 ** (scale - 2)
     return (f"((2 * CAST(sum({col} * {unit}) AS HUGEINT) + {step} * count({col})) // (2 * {step} * count({col})))"
             f" / 100.0")
+
+
+def sround(expr: str, digits: int) -> str:
+    """Spark's ROUND of a DOUBLE: half-up on the shortest decimal text of the value."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"

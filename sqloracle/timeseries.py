@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sqloracle.base import SALES_CLEANED
+from sqloracle.base import SALES_CLEANED, sround
 
 SERIES = SALES_CLEANED + """,
 m AS (SELECT Country, CAST(date_trunc('month', InvoiceDate) AS DATE) AS ds, sum(TotalRevenue) AS y
@@ -28,8 +28,10 @@ FROM series"""
 
 DECOMP = SERIES + f""",
 s AS (SELECT *, row_number() {_W} - 1 AS i, count(*) OVER (PARTITION BY Country) AS n,
-             (sum(y) OVER (PARTITION BY Country ORDER BY ds ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)
-              - 0.5 * (lag(y, 6) {_W} + lead(y, 6) {_W})) / 12 AS ma_raw
+             CAST(2 * sum(CAST(y AS DECIMAL(20,2))) OVER (PARTITION BY Country ORDER BY ds
+                                                            ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)
+                  - lag(CAST(y AS DECIMAL(20,2)), 6) {_W} - lead(CAST(y AS DECIMAL(20,2)), 6) {_W} AS DOUBLE) / 24
+               AS ma_raw
       FROM series),
 s2 AS (SELECT *, CASE WHEN i >= 6 AND i <= n - 7 THEN ma_raw END AS ma FROM s),
 s3 AS (SELECT *,
@@ -49,13 +51,12 @@ s5 AS (SELECT *, avg(y - trend) OVER (PARTITION BY Country, phase) AS pm,
 s6 AS (SELECT *, pm - sum(pm / pc) OVER (PARTITION BY Country) / 12 AS seasonal FROM s5),
 decomp AS (SELECT Country, ds, y AS observed, trend, seasonal, y - trend - seasonal AS resid FROM s6)"""
 
-SQL["seasonal_decompose"] = DECOMP + """
-SELECT Country, ds, observed, round(trend, 2) AS trend, round(seasonal, 2) AS seasonal,
-       round(observed - round(trend, 2) - round(seasonal, 2), 2) AS resid
-FROM decomp"""
+SQL["seasonal_decompose"] = DECOMP + f"""
+SELECT Country, ds, observed, trend, seasonal, {sround('observed - trend - seasonal', 2)} AS resid
+FROM (SELECT Country, ds, observed, {sround('trend', 2)} AS trend, {sround('seasonal', 2)} AS seasonal FROM decomp)"""
 
-SQL["seasonal_index"] = DECOMP + """
-SELECT Country, CAST(month(ds) AS INTEGER) AS month, round(avg(seasonal), 2) AS seasonal_effect
+SQL["seasonal_index"] = DECOMP + f"""
+SELECT Country, CAST(month(ds) AS INTEGER) AS month, {sround('avg(seasonal)', 2)} AS seasonal_effect
 FROM decomp GROUP BY 1, 2"""
 
 _LAGS = " UNION ALL ".join(

@@ -77,11 +77,14 @@ def seasonal_decompose(series: DataFrame, keys: Sequence[str] | str | None = Non
     s = (series.withColumn("_i", F.row_number().over(w) - 1)
          .withColumn("_n", F.count(F.lit(1)).over(wall)))
     i, n = F.col("_i"), F.col("_n")
-    window_sum = F.sum(y).over(w.rowsBetween(-h, h))
+    # Window sums in exact decimals (the series are sums of cents), one division at the
+    # end: the trend does not depend on the order in which the window is added up.
+    yd = F.col(y).cast("decimal(20,2)")
+    window_sum = F.sum(yd).over(w.rowsBetween(-h, h))
     if period % 2 == 0:
-        ma = (window_sum - 0.5 * (F.lag(y, h).over(w) + F.lead(y, h).over(w))) / period
+        ma = (2 * window_sum - F.lag(yd, h).over(w) - F.lead(yd, h).over(w)).cast("double") / (2 * period)
     else:
-        ma = window_sum / period
+        ma = window_sum.cast("double") / period
     s = s.withColumn("_ma", F.when((i >= h) & (i <= n - 1 - h), ma))
     front = (i >= h) & (i <= h + period - 1)
     back = (i >= n - h - period) & (i <= n - 1 - h)
