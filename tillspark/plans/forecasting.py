@@ -53,4 +53,139 @@ def entry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_metrics": _seasonal_naive_metrics,
         "future_calendar": lambda s, sf: TS.future_calendar(country_series(s, sf), SERIES_KEYS),
     }
+    q.update(forecast_entry_queries())
     return q
+
+
+# ---------------------------------------------------------------------------
+# Model selection (I11) and the report tables
+# ---------------------------------------------------------------------------
+
+from tillspark import schemas  # noqa: E402
+from tillspark.operators import arima as AR  # noqa: E402
+from tillspark.operators import diagnostics as DG  # noqa: E402
+from tillspark.operators import ets as ETS  # noqa: E402
+
+_PRIORITY = F.create_map(*[x for i, f in enumerate(ETS.FORMS) for x in (F.lit(f), F.lit(i))])
+_LABEL = F.create_map(*[x for f, lab in ETS.LABELS.items() for x in (F.lit(f), F.lit(lab))])
+
+
+def _holdout(series: DataFrame, keys: list[str], ratio: float):
+    split = TS.train_test_split(series, keys, ratio)
+    train = split.filter(F.col("split") == "train").drop("split")
+    w = Window.partitionBy(*keys).orderBy("ds")
+    test = (split.filter(F.col("split") == "test").drop("split")
+            .withColumn("step", F.row_number().over(w)))
+    horizon = test.groupBy(*keys).agg(F.count(F.lit(1)).alias("_h"))
+    return train, test, horizon
+
+
+def _ape(actual: str, pred: str):
+    a, p = F.col(actual), F.col(pred)
+    return F.when(a != 0, F.abs(a - p) / F.abs(a) * 100)
+
+
+def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schemas.TRAIN_RATIO,
+                    h: int = schemas.HORIZON, forms: Sequence[str] = ETS.FORMS, rule: str = "best",
+                    include_sarima: bool = False, order: AR.Order = AR.Order()) -> dict[str, DataFrame]:
+    """Hold-out evaluation, model choice, refit on the full history and forecast.
+
+    ETS form: ``rule='best'`` takes the lowest test MAPE (notebook rule), ``'first'`` the
+    first form that fits in the order add, mul, none, simple (script rule). With
+    ``include_sarima`` the SARIMA order competes and wins ties (MAPE <=). Returns
+    ``selection``, ``evaluation``, ``summary`` and ``forecast`` tables.
+    """
+    keys = list(keys)
+    train, test, horizon = _holdout(series, keys, ratio)
+    fits = ETS.ets_fit(train, keys, forms)
+    fc = ETS.ets_forecast(fits.join(horizon, keys), keys, "_h")
+    scored = fc.join(test.select(*keys, "step", "ds", F.col("y").alias("actual")), [*keys, "step", "ds"])
+    per_form = scored.groupBy(*keys, "form").agg(
+        F.avg(_ape("actual", "forecast")).alias("mape"))
+    rank = (F.struct(F.coalesce(F.when(~F.isnan("mape"), F.col("mape")), F.lit(float("inf"))).alias("m"),
+                     _PRIORITY[F.col("form")].alias("p"))
+            if rule == "best" else F.struct(_PRIORITY[F.col("form")].alias("p")))
+    chosen = per_form.groupBy(*keys).agg(F.min_by("form", rank).alias("ets_form"))
+    ets_pred = scored.join(chosen.withColumnRenamed("ets_form", "form"), [*keys, "form"]) \
+        .select(*keys, "step", "ds", "actual", F.col("forecast").alias("ets_pred"), "form")
+
+    evaluation = ets_pred.withColumn("ets_ape", _ape("actual", "ets_pred"))
+    models = [("ets", F.concat(F.lit("Holt-Winters ("), _LABEL[F.col("form")], F.lit(")")))]
+    if include_sarima:
+        s_fc = AR.sarima_forecast(train.join(horizon, keys), keys, order, h="_h")
+        s_pred = s_fc.filter(F.col("status") == "ok").select(*keys, "step", F.col("forecast").alias("sarima_pred"))
+        evaluation = evaluation.join(s_pred, [*keys, "step"], "left") \
+            .withColumn("sarima_ape", _ape("actual", "sarima_pred"))
+        models.insert(0, ("sarima", F.lit("SARIMA")))
+
+    def metrics(prefix: str, name) -> DataFrame:
+        a, p = F.col("actual"), F.col(f"{prefix}_pred")
+        return evaluation.filter(p.isNotNull()).groupBy(*keys).agg(
+            F.first(name).alias("Model"), F.avg(F.col(f"{prefix}_ape")).alias("_mape"),
+            F.avg(F.abs(a - p)).alias("_mae"), F.sqrt(F.avg((a - p) * (a - p))).alias("_rmse"))
+
+    summary = None
+    for prefix, name in models:
+        part = metrics(prefix, name).withColumn("_kind", F.lit(prefix))
+        summary = part if summary is None else summary.unionByName(part)
+
+    # winner: SARIMA when its MAPE is <= the ETS one (NaN MAPE loses)
+    by_kind = summary.groupBy(*keys).agg(
+        F.min_by("_kind", F.struct(F.coalesce(F.when(~F.isnan("_mape"), F.col("_mape")), F.lit(float("inf"))),
+                                   F.when(F.col("_kind") == "sarima", 0).otherwise(1))).alias("winner"))
+    selection = chosen.join(by_kind, keys)
+
+    # refit the winner on the full history and forecast h months
+    full_fits = ETS.ets_fit(series, keys, forms).join(chosen.withColumnRenamed("ets_form", "form"), [*keys, "form"])
+    ets_future = ETS.ets_forecast(full_fits, keys, h).join(selection.filter(F.col("winner") == "ets"), keys) \
+        .select(*keys, "ds", "forecast", "lower", "upper",
+                F.concat(F.lit("Holt-Winters ("), _LABEL[F.col("form")], F.lit(")")).alias("model"))
+    future = ets_future
+    if include_sarima:
+        s_future = AR.sarima_forecast(series, keys, order, h).filter(F.col("status") == "ok") \
+            .join(selection.filter(F.col("winner") == "sarima"), keys) \
+            .select(*keys, "ds", "forecast", "lower", "upper", F.lit("SARIMA").alias("model"))
+        future = future.unionByName(s_future)
+
+    ev_cols = [*keys, F.date_format("ds", "yyyy-MM").alias("YearMonth"), F.col("actual").alias("Actual")]
+    if include_sarima:
+        ev_cols += [F.col("sarima_pred").alias("SARIMA_Pred")]
+    ev_cols += [F.col("ets_pred").alias("ETS_Pred")]
+    if include_sarima:
+        ev_cols += [F.col("sarima_ape").alias("SARIMA_APE")]
+    ev_cols += [F.col("ets_ape").alias("ETS_APE")]
+    return {
+        "selection": selection,
+        "evaluation": evaluation.select(*ev_cols),
+        "summary": summary.select(*keys, "Model", F.round("_mape", 2).alias("MAPE"),
+                                  F.round(100 - F.col("_mape"), 1).alias("Accuracy"),
+                                  F.round("_mae", 0).alias("MAE"), F.round("_rmse", 0).alias("RMSE")),
+        "forecast": future.select(*keys, F.date_format("ds", "yyyy-MM").alias("YearMonth"),
+                                  F.round("forecast", 2).alias("ForecastRevenue"),
+                                  F.round("lower", 2).alias("Lower_80CI"), F.round("upper", 2).alias("Upper_80CI"),
+                                  F.col("model").alias("ModelUsed")),
+    }
+
+
+def forecast_entry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    k = SERIES_KEYS
+
+    def sel(part: str, sarima: bool = False):
+        return lambda s, sf: model_selection(country_series(s, sf), k, include_sarima=sarima)[part]
+
+    return {
+        "ets_fit": lambda s, sf: ETS.ets_fit(country_series(s, sf), k).drop("season"),
+        "ets_forecast": lambda s, sf: ETS.ets_forecast(ETS.ets_fit(country_series(s, sf), k), k),
+        "model_selection": sel("selection"),
+        "model_evaluation": sel("evaluation"),
+        "model_summary": sel("summary"),
+        "revenue_forecast": sel("forecast"),
+        "model_selection_sarima": sel("selection", True),
+        "model_evaluation_sarima": sel("evaluation", True),
+        "model_summary_sarima": sel("summary", True),
+        "revenue_forecast_sarima": sel("forecast", True),
+        "sarima_forecast": lambda s, sf: AR.sarima_forecast(country_series(s, sf), k),
+        "sarima_order_search": lambda s, sf: AR.sarima_order_search(country_series(s, sf), k),
+        "pacf": lambda s, sf: DG.pacf(country_series(s, sf), k),
+        "adf_test": lambda s, sf: DG.adf_test(country_series(s, sf), k),
+    }
