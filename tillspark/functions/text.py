@@ -19,8 +19,12 @@ def title_case(col: Column | str) -> Column:
     into alternating runs of letters and non-letters and capitalise each run.
     """
     c = F.col(col) if isinstance(col, str) else col
-    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.when(c.isNull(), None).otherwise(F.array_join(F.transform(runs, F.initcap), ""))
+    # initcap starts a word only after a blank. Put a blank after every non-letter,
+    # capitalise, then drop exactly those blanks: left to right, each non-letter is
+    # followed by its own inserted blank, so the pairs line up. Built-in, codegen'd
+    # string functions only (no per-element lambda).
+    spaced = F.regexp_replace(c, r"(\P{L})", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"(\P{L}) ", "$1")
 
 
 def is_missing_text(col: Column | str) -> Column:

@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -311,3 +312,40 @@ def inventory_risk(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
     flag = F.coalesce(F.col("forecast_qty") > F.col("avg_monthly_qty"), F.lit(False))
     return out.select("stock_code", "description", "avg_monthly_qty", "forecast_qty",
                       flag.alias("stockout_flag"), "risk_level")
+
+
+TABLE_NAMES = ("dim_date", "dim_product", "dim_customer", "dim_country", "fact_sales")
+
+
+def write_warehouse(w: Warehouse, path: str, with_ids: bool = True) -> None:
+    """Persist the star schema as Parquet under ``path``.
+
+    The fact is written range-partitioned by date (``with_sale_id`` numbers it in that
+    order), partitioned on disk by ``month_key`` = yyyyMM, so date-filtered reports
+    prune whole months. Range partitioning splits a month that holds a large share of
+    the lines over several tasks instead of one.
+    """
+    spark = w.sales.sparkSession
+    sales = w.sales.persist(StorageLevel.MEMORY_AND_DISK)  # read by four dims and the fact
+    try:
+        for name, df in (("dim_date", dim_date(sales)), ("dim_product", dim_product(sales)),
+                         ("dim_customer", dim_customer(sales)), ("dim_country", w.dim_country)):
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+        # keys are read back from the written dimensions, not recomputed
+        fact = fact_sales(sales, spark.read.parquet(f"{path}/dim_product"),
+                          spark.read.parquet(f"{path}/dim_country"))
+        fact = with_sale_id(fact) if with_ids else fact
+        fact = fact.withColumn("month_key", (F.col("date_key") / 10000).cast("int"))
+        fact.write.mode("overwrite").partitionBy("month_key").parquet(f"{path}/fact_sales")
+    finally:
+        sales.unpersist()
+
+
+def read_warehouse(spark: SparkSession, path: str, sales: DataFrame | None = None,
+                   forecast: DataFrame | None = None) -> Warehouse:
+    """Load a star schema written by ``write_warehouse``."""
+    t = {name: spark.read.parquet(f"{path}/{name}") for name in TABLE_NAMES}
+    fact = t["fact_sales"].drop("month_key", "sale_id")
+    return Warehouse(sales=sales if sales is not None else fact, dim_date=t["dim_date"],
+                     dim_product=t["dim_product"], dim_customer=t["dim_customer"],
+                     dim_country=t["dim_country"], fact=fact, forecast_results=forecast)

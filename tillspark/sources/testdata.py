@@ -26,10 +26,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the shuffle parallelism.
+
+    A Parquet file with one row group is one split, so everything pipelined after the
+    scan would run in one task. Many-file inputs at scale already have enough splits
+    and are left alone (the check is planning only, no job).
+    """
+    n = _partitions(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # lineitem x orders is the one big-big join: both sides hash-partitioned on the order
+    # key, which is the exchange a sort-merge join needs anyway (with bucketed tables it
+    # disappears), and it spreads the per-line work over all tasks.
+    n = _partitions(spark)
     li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag") \
+        .repartition(n, "l_orderkey")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate") \
+        .repartition(n, "o_orderkey")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
@@ -109,7 +130,7 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events as one-unit sales lines: these carry real hours and weekdays."""
-    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     return ev.select(
         F.col("event_id").cast("string").alias("Invoice"),
         F.upper("event_type").alias("StockCode"),
