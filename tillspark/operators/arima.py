@@ -1,8 +1,9 @@
 """Seasonal ARIMA per series (I7, I8, I12), fitted in grouped pandas functions.
 
 The estimation is conditional sum of squares (CSS): difference the series (d regular,
-D seasonal), run the multiplicative ARMA residual recursion, minimise the sum of
-squares with Gauss-Newton steps (numeric Jacobian, step halving). AIC =
+D seasonal), run the multiplicative ARMA residual recursion from zero pre-sample
+values, minimise the sum of
+squares with Levenberg-Marquardt steps (numeric Jacobian). AIC =
 n*ln(SSE/n) + 2*(k+1). Forecasts run the recursion forward with zero future shocks
 and undo the differencing; the 80 % interval uses the psi weights of the full
 (integrated) model. This is the model of the reference, not statsmodels' exact
@@ -81,30 +82,29 @@ def _split(params: np.ndarray, o: Order):
 
 
 def css_residuals(w: np.ndarray, params: np.ndarray, o: Order) -> np.ndarray:
-    """Residuals of the ARMA part on the differenced series; the first AR-order points
-    are conditioned on and skipped."""
+    """Residuals of the ARMA part on the differenced series, pre-sample values and
+    shocks taken as zero (so every differenced point yields a residual)."""
     phi, theta, Phi, Theta = _split(params, o)
     ar = _poly_ar(phi, Phi, o.m)
     ma = _poly_ma(theta, Theta, o.m)
-    start = len(ar)
     e = np.zeros(len(w))
-    for t in range(start, len(w)):
+    for t in range(len(w)):
         v = w[t]
-        if len(ar):
-            v -= np.dot(ar, w[t - 1::-1][:len(ar)])
-        if len(ma):
+        if len(ar) and t > 0:
+            past_w = w[max(0, t - len(ar)):t][::-1]
+            v -= np.dot(ar[:len(past_w)], past_w)
+        if len(ma) and t > 0:
             past = e[max(0, t - len(ma)):t][::-1]
             v -= np.dot(ma[:len(past)], past)
         e[t] = v
-    return e[start:]
+    return e
 
 
 def fit_css(y: np.ndarray, o: Order, max_iter: int = 50):
-    """Fit by Gauss-Newton on the CSS. Returns (params, sse, n_eff, status)."""
+    """Fit by Levenberg-Marquardt on the CSS. Returns (params, sse, n_eff, status)."""
     w = difference(y, o.d, o.D, o.m)
     k = o.p + o.q + o.P + o.Q
-    start = o.p + o.m * o.P
-    n_eff = len(w) - start
+    n_eff = len(w)
     if n_eff <= k + 1:
         return np.zeros(k), float("nan"), max(n_eff, 0), "too short"
     params = np.zeros(k)
@@ -113,6 +113,7 @@ def fit_css(y: np.ndarray, o: Order, max_iter: int = 50):
         return params, float(e @ e), n_eff, "ok"
     e = css_residuals(w, params, o)
     sse = float(e @ e)
+    mu = 1e-3
     for _ in range(max_iter):
         jac = np.empty((len(e), k))
         for j in range(k):
@@ -120,18 +121,24 @@ def fit_css(y: np.ndarray, o: Order, max_iter: int = 50):
             p2 = params.copy()
             p2[j] += step
             jac[:, j] = (css_residuals(w, p2, o) - e) / step
-        delta, *_ = np.linalg.lstsq(jac, -e, rcond=None)
-        lam, improved = 1.0, False
-        while lam > 1e-4:
-            cand = np.clip(params + lam * delta, -0.999, 0.999)
+        jtj, jte = jac.T @ jac, jac.T @ e
+        improved = False
+        for _ in range(12):  # Levenberg-Marquardt: damp until the step lowers the SSE
+            a = jtj + mu * np.diag(np.diag(jtj) + 1e-12)
+            try:
+                delta = np.linalg.solve(a, -jte)
+            except np.linalg.LinAlgError:
+                mu *= 10
+                continue
+            cand = np.clip(params + delta, -0.999, 0.999)
             e2 = css_residuals(w, cand, o)
             s2 = float(e2 @ e2)
             if np.isfinite(s2) and s2 < sse:
-                params, e, improved = cand, e2, True
                 rel = (sse - s2) / max(sse, 1e-300)
-                sse = s2
+                params, e, sse, improved = cand, e2, s2, True
+                mu = max(mu / 10, 1e-9)
                 break
-            lam /= 2
+            mu *= 10
         if not improved or rel < 1e-10:
             break
     return params, sse, n_eff, "ok"

@@ -66,8 +66,12 @@ from tillspark.operators import arima as AR  # noqa: E402
 from tillspark.operators import diagnostics as DG  # noqa: E402
 from tillspark.operators import ets as ETS  # noqa: E402
 
-_PRIORITY = F.create_map(*[x for i, f in enumerate(ETS.FORMS) for x in (F.lit(f), F.lit(i))])
-_LABEL = F.create_map(*[x for f, lab in ETS.LABELS.items() for x in (F.lit(f), F.lit(lab))])
+def _priority(form):
+    return F.create_map(*[x for i, f in enumerate(ETS.FORMS) for x in (F.lit(f), F.lit(i))])[form]
+
+
+def _label(form):
+    return F.create_map(*[x for f, lab in ETS.LABELS.items() for x in (F.lit(f), F.lit(lab))])[form]
 
 
 def _holdout(series: DataFrame, keys: list[str], ratio: float):
@@ -103,14 +107,14 @@ def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schem
     per_form = scored.groupBy(*keys, "form").agg(
         F.avg(_ape("actual", "forecast")).alias("mape"))
     rank = (F.struct(F.coalesce(F.when(~F.isnan("mape"), F.col("mape")), F.lit(float("inf"))).alias("m"),
-                     _PRIORITY[F.col("form")].alias("p"))
-            if rule == "best" else F.struct(_PRIORITY[F.col("form")].alias("p")))
+                     _priority(F.col("form")).alias("p"))
+            if rule == "best" else F.struct(_priority(F.col("form")).alias("p")))
     chosen = per_form.groupBy(*keys).agg(F.min_by("form", rank).alias("ets_form"))
     ets_pred = scored.join(chosen.withColumnRenamed("ets_form", "form"), [*keys, "form"]) \
         .select(*keys, "step", "ds", "actual", F.col("forecast").alias("ets_pred"), "form")
 
     evaluation = ets_pred.withColumn("ets_ape", _ape("actual", "ets_pred"))
-    models = [("ets", F.concat(F.lit("Holt-Winters ("), _LABEL[F.col("form")], F.lit(")")))]
+    models = [("ets", F.concat(F.lit("Holt-Winters ("), _label(F.col("form")), F.lit(")")))]
     if include_sarima:
         s_fc = AR.sarima_forecast(train.join(horizon, keys), keys, order, h="_h")
         s_pred = s_fc.filter(F.col("status") == "ok").select(*keys, "step", F.col("forecast").alias("sarima_pred"))
@@ -139,7 +143,7 @@ def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schem
     full_fits = ETS.ets_fit(series, keys, forms).join(chosen.withColumnRenamed("ets_form", "form"), [*keys, "form"])
     ets_future = ETS.ets_forecast(full_fits, keys, h).join(selection.filter(F.col("winner") == "ets"), keys) \
         .select(*keys, "ds", "forecast", "lower", "upper",
-                F.concat(F.lit("Holt-Winters ("), _LABEL[F.col("form")], F.lit(")")).alias("model"))
+                F.concat(F.lit("Holt-Winters ("), _label(F.col("form")), F.lit(")")).alias("model"))
     future = ets_future
     if include_sarima:
         s_future = AR.sarima_forecast(series, keys, order, h).filter(F.col("status") == "ok") \
