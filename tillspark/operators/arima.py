@@ -85,19 +85,22 @@ def css_residuals(w: np.ndarray, params: np.ndarray, o: Order) -> np.ndarray:
     """Residuals of the ARMA part on the differenced series, pre-sample values and
     shocks taken as zero (so every differenced point yields a residual)."""
     phi, theta, Phi, Theta = _split(params, o)
-    ar = _poly_ar(phi, Phi, o.m)
-    ma = _poly_ma(theta, Theta, o.m)
-    e = np.zeros(len(w))
-    for t in range(len(w)):
-        v = w[t]
-        if len(ar) and t > 0:
-            past_w = w[max(0, t - len(ar)):t][::-1]
-            v -= np.dot(ar[:len(past_w)], past_w)
-        if len(ma) and t > 0:
-            past = e[max(0, t - len(ma)):t][::-1]
-            v -= np.dot(ma[:len(past)], past)
+    # The expanded seasonal polynomials are mostly zeros: loop over the non-zero lags
+    # only, in plain floats (small numpy calls cost more than they save here).
+    nz_ar = [(i, float(c)) for i, c in enumerate(_poly_ar(phi, Phi, o.m), start=1) if c != 0.0]
+    nz_ma = [(j, float(c)) for j, c in enumerate(_poly_ma(theta, Theta, o.m), start=1) if c != 0.0]
+    wl = [float(v) for v in w]
+    e = [0.0] * len(wl)
+    for t in range(len(wl)):
+        v = wl[t]
+        for lag, c in nz_ar:
+            if lag <= t:
+                v -= c * wl[t - lag]
+        for lag, c in nz_ma:
+            if lag <= t:
+                v -= c * e[t - lag]
         e[t] = v
-    return e
+    return np.array(e)
 
 
 def fit_css(y: np.ndarray, o: Order, max_iter: int = 50):
@@ -266,36 +269,38 @@ def sarima_order_search(series: DataFrame, keys: Sequence[str], max_p: int = 3,
 
     d comes first from a KPSS test on the seasonally differenced series (AIC does not
     compare models with different d). Every candidate order is its own group, so the
-    fits run in parallel; the winner per series is an ``min_by`` on (aic, order).
+    fits run in parallel; the winner per series is the minimum of (aic, order). Output
+    columns p, d, q, sp, sd, sq, m (seasonal P, D, Q as sp, sd, sq).
     """
     keys = list(keys)
     grid = [(p, q, P, Q) for p, q, P, Q in product(range(max_p + 1), range(max_q + 1), range(max_P + 1),
                                                    range(max_Q + 1))]
-    cands = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.lit(P).alias("P"), F.lit(Q).alias("Q"))
+    # Spark resolves names case-insensitively: the seasonal orders are sp, sd, sq.
+    cands = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.lit(P).alias("sp"), F.lit(Q).alias("sq"))
                       for p, q, P, Q in grid])
     data = series.select(*keys, "ds", F.col(y).cast("double").alias("_y"), F.explode(cands).alias("_o")) \
         .select(*keys, "ds", "_y", F.col("_o.p").alias("p"), F.col("_o.q").alias("q"),
-                F.col("_o.P").alias("P"), F.col("_o.Q").alias("Q"))
+                F.col("_o.sp").alias("sp"), F.col("_o.sq").alias("sq"))
     schema = T.StructType(_key_fields(series, keys) + [
         T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()), T.StructField("q", T.IntegerType()),
-        T.StructField("P", T.IntegerType()), T.StructField("D", T.IntegerType()), T.StructField("Q", T.IntegerType()),
+        T.StructField("sp", T.IntegerType()), T.StructField("sd", T.IntegerType()), T.StructField("sq", T.IntegerType()),
         T.StructField("m", T.IntegerType()), T.StructField("aic", T.DoubleType()),
         T.StructField("sse", T.DoubleType()), T.StructField("status", T.StringType())])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ds")
         kv = {k: pdf[k].iloc[0] for k in keys}
-        p, q, P, Q = (int(pdf[c].iloc[0]) for c in ("p", "q", "P", "Q"))
+        p, q, P, Q = (int(pdf[c].iloc[0]) for c in ("p", "q", "sp", "sq"))
         yv = pdf["_y"].to_numpy()
         d = kpss_ndiffs(difference(yv, 0, D, m))
         o = Order(p, d, q, P, D, Q, m)
         params, sse, n_eff, status = fit_css(yv, o)
-        return pd.DataFrame([{**kv, "p": p, "d": d, "q": q, "P": P, "D": D, "Q": Q, "m": m,
+        return pd.DataFrame([{**kv, "p": p, "d": d, "q": q, "sp": P, "sd": D, "sq": Q, "m": m,
                               "aic": aic(sse, n_eff, len(params)), "sse": sse, "status": status}],
                             columns=schema.fieldNames())
 
-    fits = data.groupBy(*keys, "p", "q", "P", "Q").applyInPandas(fn, schema=schema)
+    fits = data.groupBy(*keys, "p", "q", "sp", "sq").applyInPandas(fn, schema=schema)
     ok = fits.filter((F.col("status") == "ok") & (F.col("aic") < F.lit(float("inf"))))
-    best = ok.groupBy(*keys).agg(F.min(F.struct("aic", "p", "d", "q", "P", "D", "Q", "m")).alias("b"),
+    best = ok.groupBy(*keys).agg(F.min(F.struct("aic", "p", "d", "q", "sp", "sd", "sq", "m")).alias("b"),
                                  F.count(F.lit(1)).alias("candidates"))
-    return best.select(*keys, "b.p", "b.d", "b.q", "b.P", "b.D", "b.Q", "b.m", "b.aic", "candidates")
+    return best.select(*keys, "b.p", "b.d", "b.q", "b.sp", "b.sd", "b.sq", "b.m", "b.aic", "candidates")
