@@ -80,3 +80,56 @@ SELECT Country, round(mape, 6) AS mape, round(mae, 2) AS mae, round(rmse, 2) AS
 SQL["future_calendar"] = SERIES + """
 SELECT Country, CAST(step AS INTEGER) AS step, CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE) AS ds
 FROM (SELECT Country, max(ds) AS last_ds FROM series GROUP BY Country), range(1, 7) t(step)"""
+
+from sqloracle.ets import fit_ctes, forecast_select  # noqa: E402
+
+_REC = SERIES.replace("WITH ", "WITH RECURSIVE ", 1)
+SQL["ets_fit"] = _REC + "," + fit_ctes("series", "e") + " SELECT * EXCLUDE (season) FROM e_fit"
+SQL["ets_forecast"] = _REC + "," + fit_ctes("series", "e") + forecast_select("e_fit", "6")
+
+from sqloracle.base import sround as _sr  # noqa: E402
+
+_SELECTION = _REC + "," + """
+split AS (SELECT *, row_number() OVER (PARTITION BY Country ORDER BY ds) AS rn,
+                 floor(count(*) OVER (PARTITION BY Country) * 0.8) AS cut FROM series),
+train AS (SELECT Country, ds, y FROM split WHERE rn <= cut),
+test AS (SELECT Country, ds, y, CAST(rn - cut AS INTEGER) AS step FROM split WHERE rn > cut),
+horizon AS (SELECT Country, count(*) AS h FROM test GROUP BY Country),""" + fit_ctes("train", "tr") + """,
+tr_fc AS (""" + forecast_select("(SELECT * FROM tr_fit JOIN horizon USING (Country))", "h") + """),
+scored AS (SELECT f.Country, f.form, f.step, f.ds, t.y AS actual, f.forecast
+           FROM tr_fc f JOIN test t ON t.Country = f.Country AND t.step = f.step AND t.ds = f.ds),
+per_form AS (SELECT Country, form,
+                    avg(CASE WHEN actual <> 0 THEN abs(actual - forecast) / abs(actual) * 100 END) AS mape
+             FROM scored GROUP BY Country, form),
+prio AS (SELECT * FROM (VALUES ('add', 0, 'add'), ('mul', 1, 'mul'), ('none', 2, 'none (trend only)'),
+                               ('simple', 3, 'simple')) t(form, p, label)),
+chosen AS (
+  SELECT Country, form AS ets_form FROM (
+    SELECT *, row_number() OVER (PARTITION BY Country
+                                 ORDER BY CASE WHEN mape IS NULL OR isnan(mape) THEN 'Infinity'::DOUBLE ELSE mape END,
+                                          p) AS r
+    FROM per_form JOIN prio USING (form))
+  WHERE r = 1),
+evaluation AS (
+  SELECT s.Country, s.ds, s.actual, s.forecast AS ets_pred,
+         CASE WHEN s.actual <> 0 THEN abs(s.actual - s.forecast) / abs(s.actual) * 100 END AS ets_ape, s.form
+  FROM scored s JOIN chosen c ON c.Country = s.Country AND c.ets_form = s.form),""" + fit_ctes("series", "fu") + """,
+future AS (""" + forecast_select("(SELECT f.* FROM fu_fit f JOIN chosen c ON c.Country = f.Country AND c.ets_form = f.form)",
+                                 "6") + """)
+"""
+
+SQL["model_selection"] = _SELECTION + "SELECT Country, ets_form, 'ets' AS winner FROM chosen"
+SQL["model_evaluation"] = _SELECTION + """
+SELECT Country, strftime(ds, '%Y-%m') AS YearMonth, actual AS Actual, ets_pred AS ETS_Pred, ets_ape AS ETS_APE
+FROM evaluation"""
+SQL["model_summary"] = _SELECTION + f"""
+SELECT Country, Model, {_sr('mape', 2)} AS MAPE, {_sr('100 - mape', 1)} AS Accuracy, {_sr('mae', 0)} AS MAE,
+       {_sr('rmse', 0)} AS RMSE
+FROM (SELECT e.Country, 'Holt-Winters (' || p.label || ')' AS Model, avg(e.ets_ape) AS mape,
+             avg(abs(e.actual - e.ets_pred)) AS mae, sqrt(avg((e.actual - e.ets_pred) * (e.actual - e.ets_pred))) AS rmse
+      FROM evaluation e JOIN prio p USING (form) GROUP BY e.Country, p.label)"""
+SQL["revenue_forecast"] = _SELECTION + f"""
+SELECT f.Country, strftime(f.ds, '%Y-%m') AS YearMonth, {_sr('f.forecast', 2)} AS ForecastRevenue,
+       {_sr('f.lower', 2)} AS Lower_80CI, {_sr('f.upper', 2)} AS Upper_80CI,
+       'Holt-Winters (' || p.label || ')' AS ModelUsed
+FROM future f JOIN prio p USING (form)"""
