@@ -111,3 +111,20 @@ def test_inventory_risk_thresholds(spark):
     fq = spark.createDataFrame([("R0300", 310.0), ("R1001", 900.0)], "stock_code string, forecast_qty double")
     flags = {r.stock_code: r.stockout_flag for r in WH.inventory_risk(w, forecast_qty=fq).collect()}
     assert flags["R0300"] is True and flags["R1001"] is False and flags["R0002"] is False
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from tillspark.operators.quantiles import exact_quantiles
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(0, 50))) for _ in range(3000)]          # one dominant group, many ties
+    rows += [(g, rnd.uniform(0, 100)) for g in ("a", "b") for _ in range(rnd.randint(1, 40))]
+    rows += [("single", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.25, 0.5, 0.75, 0.9]
+    got = {r.g: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs, 6).collect()}
+    for g in {r[0] for r in rows}:
+        vals = np.array([v for k, v in rows if k == g])
+        want = np.percentile(vals, [p * 100 for p in probs], method="linear")
+        assert np.allclose(got[g], want, rtol=0, atol=1e-9), g

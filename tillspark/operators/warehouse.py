@@ -192,6 +192,20 @@ def fk_orphans(lines: DataFrame, products: DataFrame, countries: DataFrame) -> D
     return prod.unionByName(ctry)
 
 
+def _pick(df: DataFrame, keys: list[str], rank: list[Column], largest: bool) -> DataFrame:
+    """One row per key: the smallest (or largest) by ``rank``, then by all columns.
+
+    A grouped min/max over a struct aggregates partially in every map task, so a key
+    that holds a large share of the rows is reduced before the shuffle (a window over
+    the key would send all of its rows to one task).
+    """
+    others = [c for c in df.columns if c not in keys]
+    agg = F.max if largest else F.min
+    best = df.groupBy(*keys).agg(agg(F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank)],
+                                              *[F.col(c) for c in others])).alias("_b"))
+    return best.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in others]).select(*df.columns)
+
+
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """Rows of ``existing`` plus rows of ``new`` whose key is not present.
 
@@ -199,8 +213,7 @@ def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str] | str)
     result does not depend on the order of arrival).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in new.columns])
-    first_new = new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    first_new = _pick(new, keys, [], largest=False)
     fresh = first_new.join(existing.select(*keys), keys, "left_anti")
     return existing.unionByName(fresh)
 
@@ -216,16 +229,13 @@ def upsert(existing: DataFrame, new: DataFrame, key: Sequence[str] | str,
     rank_cols = list(order_by) if order_by else [c for c in new.columns if c not in keys]
     both = (existing.withColumn("_src", F.lit(0))
             .unionByName(new.select(*existing.columns).withColumn("_src", F.lit(1))))
-    w = Window.partitionBy(*keys).orderBy(F.col("_src").desc(),
-                                          *[F.col(c).desc_nulls_last() for c in rank_cols])
-    return both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    return _pick(both, keys, [F.col("_src"), *[F.col(c) for c in rank_cols]], largest=True).drop("_src")
 
 
-def distinct_on(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column | str]) -> DataFrame:
-    """First row per key in the given order, like ``DISTINCT ON``."""
+def distinct_on(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """First row per key in the given (ascending) order, like ``DISTINCT ON``."""
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return _pick(df, keys, [F.col(c) for c in order], largest=False)
 
 
 def dq_constraints(w: Warehouse) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.functions.money import safe_ratio
+from tillspark.operators.quantiles import exact_quantiles
 from tillspark.operators.ranking import scalable_ntile
 from tillspark.operators.warehouse import Warehouse, inventory_risk
 
@@ -325,14 +326,13 @@ def dataset_summary(cleaned: DataFrame) -> DataFrame:
 def boxplot_by_month(cleaned: DataFrame, value: str = "TotalRevenue") -> DataFrame:
     """Box-plot data per calendar month: quartiles, whiskers, flier count.
 
-    Quartiles are exact (linear interpolation). ``percentile`` aggregates partially
-    with value -> count maps, so its state grows with the distinct values of a month,
-    not its lines. Whiskers are the extreme values within 1.5 IQR, found after a join
-    with the (at most twelve-row) quartile table.
+    Quartiles are exact (linear interpolation) and come from ``exact_quantiles``, which
+    never puts a month in one task. Whiskers are the extreme values within 1.5 IQR,
+    found after a join with the (at most twelve-row) quartile table.
     """
     v = F.col(value).cast("double")
-    q = cleaned.groupBy("Month").agg(F.percentile(v, [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select("Month", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(cleaned.select("Month", v.alias("_v")), ["Month"], "_v", [0.25, 0.5, 0.75])
+    q = q.select("Month", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     joined = cleaned.select("Month", v.alias("_v")).join(F.broadcast(q), "Month")
