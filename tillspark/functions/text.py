@@ -6,9 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: the white-space characters stripped (those of \s: blank, tab, newline,
+# vertical tab, form feed, carriage return).
+WHITESPACE = " \t\n\u000b\f\r"
+
+
 def strip_all(col: Column | str) -> Column:
-    """Remove leading and trailing white space of any kind (``trim`` only removes blanks)."""
-    return F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"^\s+|\s+$", "")
+    """Remove leading and trailing white space of any kind (plain ``trim`` only removes
+    blanks). A character-set trim, no regular expression."""
+    return F.trim(F.col(col) if isinstance(col, str) else col, F.lit(WHITESPACE))
 
 
 def title_case(col: Column | str) -> Column:
