@@ -43,7 +43,7 @@ def sales_warehouse(spark: SparkSession, sf: str) -> WH.Warehouse:
 
 
 def events_warehouse(spark: SparkSession, sf: str) -> WH.Warehouse:
-    return WH.build_warehouse(add_features(TD.event_sales(spark, sf)))
+    return WH.build_warehouse(add_features(TD.event_sales(spark, sf)), TD.country_regions(spark, sf))
 
 
 def _normalized(spark, sf):

@@ -70,8 +70,10 @@ event_sales AS (
   SELECT CAST(event_id AS VARCHAR) AS Invoice, upper(event_type) AS StockCode,
          upper(event_type[1]) || lower(event_type[2:]) AS Description,
          1 AS Quantity, ts AS InvoiceDate, CAST(value AS DECIMAL(10,4)) AS Price,
-         user_id AS CustomerID, 'Unspecified' AS Country
-  FROM events
+         user_id AS CustomerID, coalesce(n.n_name, 'Unspecified') AS Country
+  FROM events e
+  LEFT JOIN customer c ON c.c_custkey = e.user_id
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 )"""
 
 
@@ -197,7 +199,7 @@ def with_ctes(*parts: str) -> str:
 
 # Standard prefixes
 SALES_WH = with_ctes(SALES, features("sales", "cleaned"), warehouse("cleaned"))
-EVENTS_WH = with_ctes(EVENT_SALES, features("event_sales", "cleaned"), warehouse("cleaned", regions=False))
+EVENTS_WH = with_ctes(EVENT_SALES, features("event_sales", "cleaned"), warehouse("cleaned"))
 SALES_CLEANED = with_ctes(SALES, features("sales", "cleaned"))
 EVENTS_CLEANED = with_ctes(EVENT_SALES, features("event_sales", "cleaned"))
 DIRTY_CLEANED = with_ctes(DIRTY, CLEAN_CHAIN, features("cleaned_lines", "cleaned"))

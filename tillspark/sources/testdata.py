@@ -130,8 +130,16 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web events as one-unit sales lines: these carry real hours and weekdays."""
+    """Web events as one-unit sales lines: these carry real hours and weekdays.
+
+    The user is the customer of the same key; the country is that customer's nation
+    ('Unspecified' when the user is not a customer).
+    """
     ev = spread(read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    ev = (ev.join(customer, ev.user_id == customer.c_custkey, "left")
+          .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left"))
     return ev.select(
         F.col("event_id").cast("string").alias("Invoice"),
         F.upper("event_type").alias("StockCode"),
@@ -140,7 +148,7 @@ def event_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("InvoiceDate"),
         F.col("value").cast("decimal(10,4)").alias("Price"),
         F.col("user_id").alias("CustomerID"),
-        F.lit("Unspecified").alias("Country"),
+        F.coalesce(F.col("n_name"), F.lit("Unspecified")).alias("Country"),
     )
 
 
