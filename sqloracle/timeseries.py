@@ -133,3 +133,24 @@ SELECT f.Country, strftime(f.ds, '%Y-%m') AS YearMonth, {_sr('f.forecast', 2)} A
        {_sr('f.lower', 2)} AS Lower_80CI, {_sr('f.upper', 2)} AS Upper_80CI,
        'Holt-Winters (' || p.label || ')' AS ModelUsed
 FROM future f JOIN prio p USING (form)"""
+
+# PACF by Durbin-Levinson on biased autocovariances: a recursive CTE over the lag.
+SQL["pacf"] = _REC + """,
+d AS (SELECT Country, ds, y - avg(y) OVER (PARTITION BY Country) AS dev,
+             count(*) OVER (PARTITION BY Country) AS n FROM series),
+lagged AS (SELECT Country, n, dev, """ + ", ".join(f"lead(dev, {k}) OVER (PARTITION BY Country ORDER BY ds) AS l{k}"
+                                                    for k in range(1, 13)) + """ FROM d),
+acov AS (SELECT Country, [sum(dev * dev) / any_value(n), """ + ", ".join(f"sum(dev * l{k}) / any_value(n)"
+                                                                           for k in range(1, 13)) + """] AS g
+         FROM lagged GROUP BY Country),
+dl(Country, g, k, phi, v) AS (
+  SELECT Country, g, 1, [g[2] / g[1]], g[1] * (1 - (g[2] / g[1]) * (g[2] / g[1])) FROM acov
+  UNION ALL
+  SELECT Country, g, k + 1,
+         list_concat(list_transform(phi, lambda p, j: p - a * phi[k - j + 1]), [a]),
+         v * (1 - a * a)
+  FROM (SELECT *, (g[k + 2] - list_sum(list_transform(phi, lambda p, j: p * g[k - j + 2]))) / v AS a FROM dl)
+  WHERE k < 12)
+SELECT Country, 0 AS lag, 1.0::DOUBLE AS pacf FROM acov
+UNION ALL
+SELECT Country, CAST(k AS INTEGER) AS lag, round(phi[k], 6) AS pacf FROM dl"""

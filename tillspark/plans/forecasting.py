@@ -190,6 +190,6 @@ def forecast_entry_queries() -> dict[str, Callable[[SparkSession, str], DataFram
         "revenue_forecast_sarima": sel("forecast", True),
         "sarima_forecast": lambda s, sf: AR.sarima_forecast(country_series(s, sf), k),
         "sarima_order_search": lambda s, sf: AR.sarima_order_search(country_series(s, sf), k),
-        "pacf": lambda s, sf: DG.pacf(country_series(s, sf), k),
+        "pacf": lambda s, sf: _r(DG.pacf(country_series(s, sf), k), {"pacf": 6}),
         "adf_test": lambda s, sf: DG.adf_test(country_series(s, sf), k),
     }
