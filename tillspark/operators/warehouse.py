@@ -365,7 +365,7 @@ def read_warehouse(spark: SparkSession, path: str, sales: DataFrame | None = Non
                    forecast: DataFrame | None = None) -> Warehouse:
     """Load a star schema written by ``write_warehouse``."""
     t = {name: spark.read.parquet(f"{path}/{name}") for name in TABLE_NAMES}
-    fact = t["fact_sales"].drop("month_key", "sale_id")
+    fact = t["fact_sales"].drop("sale_id")  # month_key stays: date windows prune on it
     return Warehouse(sales=sales if sales is not None else fact, dim_date=t["dim_date"],
                      dim_product=t["dim_product"], dim_customer=t["dim_customer"],
                      dim_country=t["dim_country"], fact=fact, forecast_results=forecast)
