@@ -3,13 +3,17 @@
 Forms: additive trend with additive seasonality (``add``), multiplicative seasonality
 (``mul``), no seasonality (``none``, trend only) and simple smoothing (``simple``).
 
-Each series becomes one row with its ordered values (a calendar of months, so the
-array is short and bounded by the history length, not by the data). The candidate
-smoothing parameters are a fixed grid exploded per series row (a generator, not a
-join), and the recursion is a SQL ``aggregate`` fold over the value array with a struct
-state (level, trend, season array, step, SSE, error sum). The best candidate per series
-and form is the one with the lowest in-sample one-step SSE; a second, finer grid is then
-searched around it. Everything stays in the JVM.
+The candidate smoothing parameters are a fixed grid; the best candidate per series and
+form has the lowest in-sample one-step SSE, and a second, finer grid is then searched
+around it. Two engines give the same numbers:
+
+* ``engine='sql'``: each series becomes one row with its ordered values (a calendar of
+  months, bounded by the history length, not by the data), the grid is exploded per
+  series row (a generator, not a join), and the recursion is a SQL ``aggregate`` fold
+  over the value array with a struct state (level, trend, season array, step, SSE,
+  error sum). Everything stays in the JVM, but higher-order functions are interpreted.
+* ``engine='numpy'`` (default, ``ets_numpy.py``): one grouped pandas call per series
+  runs all candidates at once as vectors, about 20x faster.
 
 Initial states are the usual heuristics (first-cycle means), not fitted; the model
 family and the selection protocol are those of the reference, the digits are not

@@ -183,12 +183,10 @@ def fk_orphans(lines: DataFrame, products: DataFrame, countries: DataFrame) -> D
 
     ``left_anti`` joins against the key columns only.
     """
-    spark = lines.sparkSession
     prod = lines.join(products.select(F.col("stock_code").alias("StockCode")), "StockCode", "left_anti") \
         .agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit("product_key").alias("fk"), "orphan_rows")
     ctry = lines.join(countries.select(F.col("country_name").alias("Country")), "Country", "left_anti") \
         .agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit("country_key").alias("fk"), "orphan_rows")
-    del spark
     return prod.unionByName(ctry)
 
 
