@@ -12,13 +12,30 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+TARGET_PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                           minimum: int = 200, maximum: int = 100_000) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``.
+
+    About ``target_bytes`` of shuffle data per task keeps sorts and aggregates in
+    executor memory with little spill (100 TB -> 100,000 partitions, the cap). AQE then
+    coalesces small partitions and splits skewed ones at run time.
+    """
+    return max(minimum, min(maximum, -(-input_bytes // target_bytes)))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tillspark") -> SparkSession:
+              app_name: str = "tillspark", input_bytes: int | None = None) -> SparkSession:
     """Local/cluster session with AQE on and the UI off.
 
     On a cluster ``master`` stays ``None`` and the launcher's settings win; the
-    options below are only defaults.
+    options below are only defaults. ``input_bytes`` (the size of the raw data) sizes
+    the shuffle partitions when ``shuffle_partitions`` is not given.
     """
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -28,6 +45,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # coalesce towards 128 MB reduce partitions; split file scans at 256 MB
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Grouped pandas functions for the model fits get small Arrow batches.
