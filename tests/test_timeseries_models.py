@@ -162,3 +162,22 @@ def test_model_selection_tables(spark):
     sel = t["selection"].collect()[0]
     s_mape, e_mape = summ["SARIMA"].MAPE, summ["Holt-Winters"].MAPE
     assert sel.winner == ("sarima" if s_mape <= e_mape else "ets") or abs(s_mape - e_mape) < 0.01
+
+
+def test_inventory_risk_forecast_flags_rising_demand(spark):
+    from decimal import Decimal
+
+    from tillspark import schemas
+    from tillspark.operators import warehouse as WH
+    from tillspark.operators.features import add_features
+    from tillspark.plans.forecasting import inventory_risk_forecast
+    rows = []
+    for i, d in enumerate(months((2009, 1), 30)):
+        ts = dt.datetime(d.year, d.month, 3, 10)
+        rows.append((f"U{i}", "UP001", "Rising", 10 + 3 * i, ts, Decimal("1.0000"), 1, "EIRE"))
+        rows.append((f"D{i}", "DN001", "Falling", 200 - 5 * i, ts, Decimal("1.0000"), 2, "EIRE"))
+    cleaned = add_features(spark.createDataFrame(rows, schemas.RAW_SALES))
+    w = WH.build_warehouse(cleaned)
+    got = {r.stock_code: r for r in inventory_risk_forecast(w, cleaned).collect()}
+    assert got["UP001"].stockout_flag is True and got["UP001"].forecast_qty > got["UP001"].avg_monthly_qty
+    assert got["DN001"].stockout_flag is False

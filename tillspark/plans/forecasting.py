@@ -6,7 +6,7 @@ revenue series built from the ``sales`` adapter.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -171,6 +171,14 @@ def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schem
     }
 
 
+def _inventory_risk_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    from tillspark.operators.warehouse import build_warehouse
+    cleaned = add_features(TD.sales(spark, sf))
+    w = build_warehouse(cleaned, TD.country_regions(spark, sf))
+    # test-scale thresholds, as for the other risk keys (a part sells ~30 units a month)
+    return inventory_risk_forecast(w, cleaned, high=35, medium=30)
+
+
 def forecast_entry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     k = SERIES_KEYS
 
@@ -192,4 +200,27 @@ def forecast_entry_queries() -> dict[str, Callable[[SparkSession, str], DataFram
         "sarima_order_search": lambda s, sf: AR.sarima_order_search(country_series(s, sf), k),
         "pacf": lambda s, sf: _r(DG.pacf(country_series(s, sf), k), {"pacf": 6}),
         "adf_test": lambda s, sf: DG.adf_test(country_series(s, sf), k),
+        "inventory_risk_forecast": _inventory_risk_forecast,
     }
+
+
+def product_demand_forecast(cleaned: DataFrame, keys: Sequence[str] = ("StockCode",), value: str = "Quantity",
+                            h: int = 3, forms: Sequence[str] = ("add", "none", "simple")) -> DataFrame:
+    """Mean forecast quantity of the next ``h`` months per product.
+
+    Zero-filled monthly quantity series per product, ETS model selection per series
+    (all products in parallel, one group each), mean of the h-month forecast.
+    """
+    keys = list(keys)
+    series = TS.monthly_series(cleaned, keys, value=value)
+    fc = model_selection(series, keys, h=h, forms=forms)["forecast"]
+    return fc.groupBy(*keys).agg(F.avg("ForecastRevenue").alias("forecast_qty"))
+
+
+def inventory_risk_forecast(w, cleaned: DataFrame, high: float = schemas.RISK_HIGH,
+                            medium: float = schemas.RISK_MEDIUM, h: int = 3) -> DataFrame:
+    """Inventory risk with the forecast quantity and stock-out flag filled (W9, S16):
+    stock-out when the forecast monthly demand exceeds the average monthly quantity."""
+    from tillspark.operators.warehouse import inventory_risk
+    fq = product_demand_forecast(cleaned, h=h).select(F.col("StockCode").alias("stock_code"), "forecast_qty")
+    return inventory_risk(w, high, medium, forecast_qty=fq)
