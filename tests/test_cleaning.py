@@ -85,3 +85,12 @@ def test_null_and_baseline_audit(spark):
 def test_empty_input(spark):
     out = C.clean_sales(raw(spark, []))
     assert out.count() == 0 and len(out.columns) == 19
+
+
+def test_cleaning_is_idempotent(spark):
+    rows = [line(), line(code=" 85123a"), line(inv="C1"), line(desc=None, inv="2"), line(desc="  SET OF 3 ", inv="3"),
+            line(q=0), line(code="POST"), line(cust=None, inv="4")]
+    once = C.clean_sales(raw(spark, rows))
+    twice = C.clean_sales(once.select(*schemas.RAW_COLUMNS))
+    key = lambda df: sorted(tuple(r) for r in df.select(*schemas.RAW_COLUMNS).collect())
+    assert key(once) == key(twice)
