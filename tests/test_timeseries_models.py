@@ -181,3 +181,15 @@ def test_inventory_risk_forecast_flags_rising_demand(spark):
     got = {r.stock_code: r for r in inventory_risk_forecast(w, cleaned).collect()}
     assert got["UP001"].stockout_flag is True and got["UP001"].forecast_qty > got["UP001"].avg_monthly_qty
     assert got["DN001"].stockout_flag is False
+
+
+def test_order_search_stepwise_vs_exhaustive(spark):
+    rng = np.random.default_rng(8)
+    vals = [1000 + 8 * i + 80 * math.sin(2 * math.pi * i / 12) + rng.normal(0, 10) for i in range(60)]
+    s = series_df(spark, vals)
+    small = dict(max_p=1, max_q=1, max_P=1, max_Q=1)
+    step = AR.sarima_order_search(s, ["k"], **small).collect()[0]
+    full = AR.sarima_order_search(s, ["k"], stepwise=False, **small).collect()[0]
+    assert full.candidates == 16 and step.candidates <= 16
+    assert full.aic <= step.aic + 1e-9
+    assert step.sd == 1 and 0 <= step.p <= 1 and 0 <= step.sq <= 1

@@ -263,16 +263,72 @@ def kpss_ndiffs(w: np.ndarray, max_d: int = 2, crit: float = 0.463) -> int:
     return max_d
 
 
+def stepwise_search(yv: np.ndarray, max_p: int, max_q: int, max_P: int, max_Q: int, D: int, m: int,
+                    max_fits: int = 100):
+    """Stepwise AIC search (the auto-ARIMA procedure): start from the standard orders,
+    move to the best neighbour (each of p, q, P, Q by +-1, and p, q or P, Q together)
+    while the AIC improves. Returns (best order tuple, aic, fits evaluated)."""
+    d = kpss_ndiffs(difference(yv, 0, D, m))
+    seen: dict[tuple, float] = {}
+
+    def score(c):
+        if c not in seen:
+            p, q, P, Q = c
+            params, sse, n_eff, status = fit_css(yv, Order(p, d, q, P, D, Q, m))
+            seen[c] = aic(sse, n_eff, len(params)) if status == "ok" else float("inf")
+        return seen[c]
+
+    def ok(c):
+        p, q, P, Q = c
+        return 0 <= p <= max_p and 0 <= q <= max_q and 0 <= P <= max_P and 0 <= Q <= max_Q
+
+    start = [c for c in [(2, 2, 1, 1), (0, 0, 0, 0), (1, 0, 1, 0), (0, 1, 0, 1)]
+             if ok((min(c[0], max_p), min(c[1], max_q), min(c[2], max_P), min(c[3], max_Q)))]
+    start = [(min(c[0], max_p), min(c[1], max_q), min(c[2], max_P), min(c[3], max_Q)) for c in start]
+    best = min(start, key=lambda c: (score(c), c))
+    moves = [(dp, dq, dP, dQ) for dp, dq, dP, dQ in
+             [(0, 0, 1, 0), (0, 0, -1, 0), (0, 0, 0, 1), (0, 0, 0, -1), (0, 0, 1, 1), (0, 0, -1, -1),
+              (1, 0, 0, 0), (-1, 0, 0, 0), (0, 1, 0, 0), (0, -1, 0, 0), (1, 1, 0, 0), (-1, -1, 0, 0)]]
+    improved = True
+    while improved and len(seen) < max_fits:
+        improved = False
+        for mv in moves:
+            c = tuple(a + b for a, b in zip(best, mv))
+            if ok(c) and c not in seen and len(seen) < max_fits and score(c) < score(best):
+                best, improved = c, True
+                break
+    return (best[0], d, best[1], best[2], D, best[3]), score(best), len(seen)
+
+
 def sarima_order_search(series: DataFrame, keys: Sequence[str], max_p: int = 3, max_q: int = 3,
-                        max_P: int = 2, max_Q: int = 2, D: int = 1, m: int = 12, y: str = "y") -> DataFrame:
-    """Lowest-AIC order per series over p, q <= 3 and P, Q <= 2 with D = 1 (I8).
+                        max_P: int = 2, max_Q: int = 2, D: int = 1, m: int = 12, y: str = "y",
+                        stepwise: bool = True) -> DataFrame:
+    """Lowest-AIC order per series within p, q <= 3 and P, Q <= 2, D = 1 (I8).
 
     d comes first from a KPSS test on the seasonally differenced series (AIC does not
-    compare models with different d). Every candidate order is its own group, so the
-    fits run in parallel; the winner per series is the minimum of (aic, order). Output
-    columns p, d, q, sp, sd, sq, m (seasonal P, D, Q as sp, sd, sq).
+    compare models with different d). ``stepwise=True`` (the reference's setting) walks
+    from the standard starting orders to better neighbours, one group per series.
+    ``stepwise=False`` fits every order: each candidate is its own group, so the fits
+    run in parallel, and the winner per series is the minimum of (aic, order). Output
+    columns p, d, q, sp, sd, sq, m (seasonal P, D, Q as sp, sd, sq), aic, candidates.
     """
     keys = list(keys)
+    if stepwise:
+        data = series.select(*keys, "ds", F.col(y).cast("double").alias("_y"))
+        out_schema = T.StructType(_key_fields(series, keys) + [
+            T.StructField(c, T.IntegerType()) for c in ("p", "d", "q", "sp", "sd", "sq", "m")] + [
+            T.StructField("aic", T.DoubleType()), T.StructField("candidates", T.LongType())])
+
+        def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("ds")
+            kv = {k: pdf[k].iloc[0] for k in keys}
+            (p, d, q, P, D_, Q), best_aic, n = stepwise_search(pdf["_y"].to_numpy(), max_p, max_q, max_P, max_Q, D, m)
+            if not np.isfinite(best_aic):
+                return pd.DataFrame([], columns=out_schema.fieldNames())
+            return pd.DataFrame([{**kv, "p": p, "d": d, "q": q, "sp": P, "sd": D_, "sq": Q, "m": m, "aic": best_aic,
+                                  "candidates": n}], columns=out_schema.fieldNames())
+
+        return data.groupBy(*keys).applyInPandas(walk, schema=out_schema)
     grid = [(p, q, P, Q) for p, q, P, Q in product(range(max_p + 1), range(max_q + 1), range(max_P + 1),
                                                    range(max_Q + 1))]
     # Spark resolves names case-insensitively: the seasonal orders are sp, sd, sq.
