@@ -101,15 +101,18 @@ def fill_by_group_mode(df: DataFrame, key: str = "StockCode", col: str = "Descri
 def clean_sales(raw: DataFrame) -> DataFrame:
     """Raw lines -> cleaned sales with features.
 
-    normalise -> drop duplicates -> drop cancellations -> drop invalid -> fill
-    descriptions -> drop noise codes -> date parts and revenue.
+    normalise -> drop duplicates -> drop cancellations -> drop invalid -> drop noise
+    codes -> fill descriptions -> date parts and revenue. The reference fills before it
+    drops noise codes; the result is the same (modes are per stock code and noise codes
+    leave entirely), and filtering first lets the predicate reach the scan and keeps
+    noise lines out of the cached input of the fill.
     """
     df = normalize_text(raw)
     df = drop_duplicate_rows(df)
     df, _cancelled = split_cancellations(df)
     df = filter_invalid(df)
-    df = fill_by_group_mode(df)
     df = remove_noise(df)
+    df = fill_by_group_mode(df)
     return add_features(df)
 
 
