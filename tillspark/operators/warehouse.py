@@ -239,8 +239,9 @@ def distinct_on(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -
 def dq_constraints(w: Warehouse) -> DataFrame:
     """Violation counts of the schema's constraints, one row per check.
 
-    Primary/unique keys by group-having counts, NOT NULL by null counts, foreign keys
-    by anti joins on key columns, CHECKs by predicate counts. All zero on a good load.
+    Primary/unique keys by group-having counts on the dimensions; NOT NULL, foreign
+    keys (left joins with the distinct parent keys) and the CHECK in one aggregate over
+    the fact, so the fact is read once. All zero on a good load.
     """
     def dup(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
         return (df.groupBy(*cols).count().filter("count > 1")
@@ -248,35 +249,33 @@ def dq_constraints(w: Warehouse) -> DataFrame:
                 .select(F.lit(table).alias("table_name"), F.lit("unique(" + ",".join(cols) + ")").alias("check_name"),
                         F.col("violations").cast("bigint")))
 
-    def nulls(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
-        return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).select(
-            F.explode(F.array(*[F.struct(F.lit(table).alias("table_name"),
-                                         F.lit(f"not_null({c})").alias("check_name"),
-                                         F.col(c).cast("bigint").alias("violations")) for c in cols])).alias("s")
-        ).select("s.*")
-
-    def fk(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
-        return (child.select(col).join(parent.select(F.col(pcol).alias(col)), col, "left_anti")
-                .agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-                .select(F.lit("fact_sales").alias("table_name"), F.lit(f"fk({col})").alias("check_name"),
-                        "violations"))
-
     fact = w.fact
+    fk_parents = [("date_key", w.dim_date, "date_key"), ("product_key", w.dim_product, "product_key"),
+                  ("customer_key", w.dim_customer, "customer_key"), ("country_key", w.dim_country, "country_key")]
+    not_null = ["invoice_no", "date_key", "product_key", "customer_key", "country_key", "quantity", "unit_price",
+                "total_revenue"]
+    # One pass over the fact for NOT NULL, foreign keys and the CHECK: left joins with the
+    # distinct parent keys (dimension-sized), then a single aggregate.
+    checked = fact
+    for col, parent, pcol in fk_parents:
+        keys = parent.select(F.col(pcol).alias(col)).distinct().withColumn(f"_fk_{col}", F.lit(True))
+        checked = checked.join(keys, col, "left")
+    counts = checked.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"nn_{c}") for c in not_null],
+        *[F.count_if(F.col(f"_fk_{c}").isNull()).alias(f"fk_{c}") for c, _, _ in fk_parents],
+        F.count_if(~(F.col("quantity") > 0) | ~(F.col("unit_price") > 0)).alias("ck"))
+    rows = ([(f"not_null({c})", f"nn_{c}") for c in not_null] + [(f"fk({c})", f"fk_{c}") for c, _, _ in fk_parents]
+            + [("check(quantity>0 and unit_price>0)", "ck")])
+    fact_checks = counts.select(F.explode(F.array(*[
+        F.struct(F.lit("fact_sales").alias("table_name"), F.lit(name).alias("check_name"),
+                 F.col(c).cast("bigint").alias("violations")) for name, c in rows])).alias("s")).select("s.*")
     checks = [
         dup(w.dim_date, "dim_date", ["date_key"]),
         dup(w.dim_product, "dim_product", ["product_key"]),
         dup(w.dim_product, "dim_product", ["stock_code"]),
         dup(w.dim_customer, "dim_customer", ["customer_id"]),
         dup(w.dim_country, "dim_country", ["country_name"]),
-        nulls(fact, "fact_sales", ["invoice_no", "date_key", "product_key", "customer_key", "country_key",
-                                   "quantity", "unit_price", "total_revenue"]),
-        fk(fact, "date_key", w.dim_date, "date_key"),
-        fk(fact, "product_key", w.dim_product, "product_key"),
-        fk(fact, "customer_key", w.dim_customer, "customer_key"),
-        fk(fact, "country_key", w.dim_country, "country_key"),
-        fact.agg(F.count_if(~(F.col("quantity") > 0) | ~(F.col("unit_price") > 0)).cast("bigint").alias("violations"))
-        .select(F.lit("fact_sales").alias("table_name"), F.lit("check(quantity>0 and unit_price>0)").alias("check_name"),
-                "violations"),
+        fact_checks,
     ]
     out = checks[0]
     for c in checks[1:]:
