@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import schemas
+from tillspark.session import persist_reused
 from tillspark.functions.text import is_missing_text, strip_all, title_case
 from tillspark.operators.features import add_features
 
@@ -88,7 +88,7 @@ def fill_by_group_mode(df: DataFrame, key: str = "StockCode", col: str = "Descri
     # The lines are read three times (modes, complete, missing). Without a cache the
     # branch filters are pushed below the de-duplication, the branches stop sharing
     # one exchange, and scan + de-duplication would run three times.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = persist_reused(df)
     modes = group_mode(df, key, col)
     complete = df.filter(F.col(col).isNotNull())
     missing = (df.filter(F.col(col).isNull())

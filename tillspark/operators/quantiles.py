@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillspark.session import persist_reused
+
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float],
                     num_partitions: int | None = None) -> DataFrame:
@@ -33,8 +34,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*groups, value]
     pairs = (df.filter(F.col(value).isNotNull()).groupBy(*order).agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (pairs.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = persist_reused(pairs.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
     run = F.sum("_c").over(Window.partitionBy("_pid").orderBy(*order)
                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))

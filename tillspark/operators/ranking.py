@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillspark.session import persist_reused
+
 _PID, _MID, _LRN, _OFF, _TOT = "_rk_pid", "_rk_mid", "_rk_lrn", "_rk_off", "_rk_total"
 
 
@@ -42,7 +43,7 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
               .withColumn(_MID, F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition index << 33) + position in partition.
     ranged = ranged.withColumn(_LRN, F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33) + 1)
-    ranged = ranged.drop(_MID).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = persist_reused(ranged.drop(_MID))
 
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy(_PID)  # over at most n rows: one per partition

@@ -78,3 +78,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+# Intermediates the library persists because it reads them more than once. They cannot
+# be released inside the operator (the plan is lazy), so they are tracked here.
+_PERSISTED: list = []
+
+
+def persist_reused(df):
+    """Persist ``df`` (memory, spilling to disk) and remember it for ``release_cached``.
+
+    A lost block is recomputed from its lineage; every caller persists data whose
+    recomputation is deterministic.
+    """
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_cached() -> int:
+    """Unpersist every intermediate persisted by the library; returns how many."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
