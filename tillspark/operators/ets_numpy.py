@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tillspark.session import ship_package
+
 SEASONAL = ("add", "mul")
 FINE_STEP = 0.1
 
@@ -144,4 +146,5 @@ def ets_fit_grouped(series: DataFrame, keys: list[str], forms, y: str, period: i
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return _fit_one(pdf, keys, forms, period, coarse, refine)
 
+    ship_package(series.sparkSession)
     return data.groupBy(*keys).applyInPandas(fn, schema=fit_schema(series, keys))

@@ -103,3 +103,37 @@ def release_cached() -> int:
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
     return n
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tillspark`` importable in Python workers (once per application).
+
+    Grouped pandas functions are pickled by reference to their module, so workers must
+    import ``tillspark``. A cluster deployment ships it with ``--py-files``; when the
+    workers cannot import it (local runs started outside the repository), the package is
+    zipped into the session's checkpoint folder and added with ``addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        _SHIPPED.add(app)  # shared file system: the deployment ships the package
+        return
+    folder = tempfile.mkdtemp(prefix="pyfiles-", dir=base.replace("file:", ""))
+    path = os.path.join(folder, "tillspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
