@@ -18,6 +18,7 @@ from tillspark.operators import cleaning as C
 from tillspark.operators import warehouse as WH
 from tillspark.operators.features import add_features
 from tillspark.operators.ranking import scalable_ntile
+from tillspark.plans import forecasting as FC
 from tillspark.plans import reports as R
 from tillspark.sources import files
 from tillspark.sources import testdata as TD
@@ -142,6 +143,18 @@ def _load_validation(spark, sf):
     return WH.load_validation(w)
 
 
+def _llm():
+    """The training-data queries, or None where that subpackage has been taken out."""
+    try:
+        from tillspark.llm import entry as llm
+        llm.queries()
+    except ModuleNotFoundError as e:
+        if e.name not in ("tillspark.llm", "corpus_pipeline"):
+            raise
+        return None
+    return llm
+
+
 def _with(wh, fn, **kw):
     return lambda spark, sf: fn(wh(spark, sf), **kw)
 
@@ -199,22 +212,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dataset_summary": lambda s, sf: R.dataset_summary(_sales_cleaned(s, sf)),
         "boxplot_by_month": lambda s, sf: R.boxplot_by_month(_sales_cleaned(s, sf)),
     }
-    try:
-        from tillspark.plans import forecasting as FC  # noqa: F401
-        q.update(FC.entry_queries())
-    except ImportError:
-        pass
+    q.update(FC.entry_queries())
+    if (llm := _llm()) is not None:
+        q.update(llm.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     from sqloracle.reports import SQL
-    out = dict(SQL)
-    try:
-        from sqloracle.timeseries import SQL as TS
-        out.update(TS)
-    except ImportError:
-        pass
+    from sqloracle.timeseries import SQL as TS
+    out = SQL | TS
+    if (llm := _llm()) is not None:
+        out.update(llm.oracle_sql())
     return {k: v for k, v in out.items() if k in queries()}
 
 
