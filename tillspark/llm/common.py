@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillspark.session import ensure_checkpoint_dir
 
@@ -39,3 +44,41 @@ def let(value: Column, body) -> Column:
 def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id as text leaves remainder 2 modulo 4 (null id: false)."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def resident(key, make):
+    """``make()`` once per Python worker process, kept for the tasks that follow in it.
+
+    Task functions are pickled by value, so a module global would start empty in each.
+    """
+    store = sys.modules.setdefault("_tillspark_resident", types.ModuleType("_tillspark_resident")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+def chunks(batch, column: str, most_bytes: int = 3_000_000):
+    """Slices of an Arrow batch of about ``most_bytes`` of text (one row at least)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + most_bytes, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def texts_of(batch, column: str) -> list[str]:
+    return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def with_column(df: DataFrame, name: str, kind: str, make) -> DataFrame:
+    """``df`` with column ``name`` made from Arrow batches by ``make(batch)`` (an array per
+    batch); an input column of that name is replaced. ``make`` runs inside the tasks."""
+    df = df.drop(name)
+
+    def run(batches):
+        for batch in batches:
+            yield from make(batch)
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))]))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["winnowing"]
+MODULES = ["winnowing", "sentencepiece_bpe", "token_files"]
 
 
 def queries() -> dict:
