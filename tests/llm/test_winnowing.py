@@ -22,8 +22,7 @@ def brute(hashes, window=Wn.WINDOW):
 def gram_hashes(spark, words):
     rows = [(i, words[i:i + Wn.K]) for i in range(max(1, len(words) - Wn.K + 1))] if words else []
     df = spark.createDataFrame(rows, "i int, w array<string>")
-    gram = F.xxhash64(*[F.xxhash64(F.get("w", j)) if False else F.when(F.get("w", j).isNotNull(), F.xxhash64(F.get("w", j)))
-                        for j in range(Wn.K)])
+    gram = F.xxhash64(*[F.when(F.get("w", F.lit(j)).isNotNull(), F.xxhash64(F.get("w", F.lit(j)))) for j in range(Wn.K)])
     return [r.h for r in df.select("i", F.shiftright(F.shiftleft(gram, 32), 32).cast("int").alias("h")).orderBy("i").collect()]
 
 
@@ -70,6 +69,6 @@ def test_query_edits_and_order(spark, tmp_path, monkeypatch):
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, prints int, _bucket int")
     assert Wn.fingerprint_pairs(empty).collect() == []
-    one = spark.createDataFrame([(1, "a b c d e f", 3, 4, 5)], "doc_id bigint, text string, prints int, _bucket int, next_text int")
+    one = spark.createDataFrame([(1, "a b c d e f", 3, 4, 5)], "doc_id bigint, text string, hashes int, _bucket int, next_text int")
     row = Wn.fingerprint_pairs(one).first()
     assert row.near_next == 1.0 and re.fullmatch("a b c.*", row.text)

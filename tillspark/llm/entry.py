@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["winnowing", "sentencepiece_bpe", "token_files"]
+MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash"]
 
 
 def queries() -> dict:

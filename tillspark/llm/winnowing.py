@@ -86,10 +86,10 @@ def hash_set(prints: Column) -> Column:
     return F.array_distinct(F.transform(prints, lambda p: p["hash"]))
 
 
-def with_next(docs: DataFrame, key: str, column: str, **derived) -> DataFrame:
+def with_next(docs: DataFrame, key: str, column: str, derive, *derived: str) -> DataFrame:
     """Adds ``next_<column>``: its value in the next row by descending ``key`` (null keys
-    last), in the first row for the last one. Each ``derived`` function of the column is
-    added too, as ``<name>`` of the row and ``next_<name>`` of the next, computed once a row.
+    last), in the first row for the last one. ``derive`` adds columns made of that column;
+    those named in ``derived`` are taken from the next row too, not computed again.
 
     Rows are dealt to buckets of equal key width, sized to hold about ``ROWS_PER_BUCKET``
     rows; only the head of each bucket crosses to its neighbour. Rows with equal keys are
@@ -98,26 +98,23 @@ def with_next(docs: DataFrame, key: str, column: str, **derived) -> DataFrame:
     lo, hi, n = docs.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     buckets = max(1, min(MAX_BUCKETS, math.ceil((n or 0) / ROWS_PER_BUCKET)))
     width = max(1, -(-((hi or 0) - (lo or 0) + 1) // buckets))
-    columns = [c for c in docs.columns if c not in derived]
-    docs = docs.select(*columns, F.coalesce(F.floor((F.col(key) - F.lit(lo or 0)) / width), F.lit(-1)).alias("_bucket"))
+    docs = docs.select("*", F.coalesce(F.floor((F.col(key) - F.lit(lo or 0)) / width), F.lit(-1)).alias("_bucket"))
     tie = F.xxhash64(column)
     packed = F.struct(column, *derived)
 
-    def full(df: DataFrame) -> DataFrame:
-        return df.withColumns({name: f(F.col(column)) for name, f in derived.items()})
-
     inside = W.partitionBy("_bucket").orderBy(F.col(key).desc_nulls_last(), tie)
-    rows = full(docs).withColumn("_next", F.lead(packed).over(inside))
-    # one row a bucket: the head of the next lower bucket, or of the highest after the last
-    top = docs.groupBy("_bucket").agg(F.max(key).alias("_top"))
-    heads = (docs.join(top, "_bucket").filter(F.col(key).eqNullSafe(F.col("_top")))
+    rows = derive(docs).withColumn("_next", F.lead(packed).over(inside))
+    # one row a bucket: the head of the next lower bucket, or of the highest after the last;
+    # the keys of the heads, at most MAX_BUCKETS pairs of longs, go to every task
+    top = docs.groupBy("_bucket").agg(F.max(key).alias("_top")).withColumnRenamed("_bucket", "_of")
+    heads = (docs.join(F.broadcast(top), (F.col("_bucket") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_top")))
              .groupBy("_bucket").agg(F.min_by(column, tie).alias(column)))
     down = W.orderBy(F.col("_bucket").desc())
-    ends = full(heads).select("_bucket", F.coalesce(
+    ends = derive(heads).select("_bucket", F.coalesce(
         F.lead(packed).over(down),
         F.first(packed).over(down.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("_after"))
     out = rows.join(ends, "_bucket", "left").withColumn("_next", F.coalesce("_next", "_after"))
-    return out.select(*columns, *derived, *[F.col("_next")[c].alias(f"next_{c}") for c in [column, *derived]])
+    return out.select("*", *[F.col("_next")[c].alias(f"next_{c}") for c in [column, *derived]]).drop("_bucket", "_next", "_after")
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -126,29 +123,37 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id and its selected k-grams, as an array of (hash, pos)."""
+    return docs.select("doc_id", winnow(F.col("text")).alias("prints"))
+
+
+def with_prints(df: DataFrame, text: str, hashes: str, fingerprint: str) -> DataFrame:
+    """Adds the set of selected hashes of a text column and the digest of hashes and positions."""
+    return (df.withColumn("_prints", winnow(F.col(text)))
+            .withColumns({hashes: hash_set(F.col("_prints")), fingerprint: digest(F.col("_prints"))}).drop("_prints"))
+
+
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document, of its edited text, and their likenesses.
+    """Fingerprints of every document and of its edited text, and their likenesses.
 
-    Output: doc_id, text, edited_text, prints, edited_prints, near_edited, near_next.
-    Repeated doc_ids keep one row each; further columns of the input do not matter.
+    Output: doc_id, text, edited_text, hashes, fingerprint, edited_hashes,
+    edited_fingerprint, near_edited, near_next. Repeated doc_ids keep one row each; further
+    columns of the input do not matter.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(docs, "doc_id", "text", prints=winnow)
+    rows = with_next(docs, "doc_id", "text", lambda df: with_prints(df, "text", "hashes", "fingerprint"), "hashes")
     rows = rows.withColumn("edited_text", edited_text(F.col("text"), F.col("next_text"))).drop("next_text")
-    rows = rows.withColumn("edited_prints", winnow(F.col("edited_text")))
-    own = hash_set(F.col("prints"))
-    return rows.select(
-        "doc_id", "text", "edited_text", "prints", "edited_prints",
-        likeness(own, hash_set(F.col("edited_prints"))).alias("near_edited"),
-        likeness(own, hash_set(F.col("next_prints"))).alias("near_next"))
+    rows = with_prints(rows, "edited_text", "edited_hashes", "edited_fingerprint")
+    return rows.withColumns({"near_edited": likeness(F.col("hashes"), F.col("edited_hashes")),
+                             "near_next": likeness(F.col("hashes"), F.col("next_hashes"))}).drop("next_hashes")
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(documents(spark, sf_dir)).select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited_text", 256).alias("edited_sha256"),
-        digest(F.col("prints")).alias("fingerprint"), digest(F.col("edited_prints")).alias("edited_fingerprint"),
-        "near_edited", "near_next")
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 QUERIES = {"op1_document_fingerprints": op1_document_fingerprints}
