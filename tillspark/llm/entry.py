@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash"]
+MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix"]
 
 
 def queries() -> dict:
