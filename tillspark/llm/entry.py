@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix", "language_id", "quality"]
+MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix", "language_id", "quality", "mixing"]
 
 
 def queries() -> dict:
