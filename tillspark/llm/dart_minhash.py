@@ -31,7 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -115,8 +115,11 @@ def _nodes(words: Words) -> list[bytes]:
 
 def row_key(docs: DataFrame) -> DataFrame:
     """doc_id, text and ``rid``: the doc_id, or a negative hash of the text where it is null."""
-    by_text = -1 - F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
-    return docs.select("doc_id", "text", F.coalesce("doc_id", by_text).alias("rid"))
+    return docs.select("doc_id", "text", row_id().alias("rid"))
+
+
+def row_id() -> Column:
+    return F.coalesce("doc_id", -1 - F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)))
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -172,6 +175,24 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and class_size of every row of ``docs`` (doc_id, text)."""
+    out = classes_of_rows(docs)
+    return (out.join(out.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class_id")
+            .select("doc_id", "class_id", "class_size"))
+
+
+def one_of_each_class(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose class has a row of smaller doc_id; of repeated rows one
+    stays."""
+    out = classes_of_rows(docs)
+    gone = out.filter("rid <> class_id").select("rid").distinct()
+    kept = docs.withColumn("_rid", row_id()).join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left_anti").drop("_rid")
+    if not out.groupBy("rid").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept
+
+
+def classes_of_rows(docs: DataFrame) -> DataFrame:
+    """rid, doc_id and class_id of every row, written."""
     rows = written(signed(docs), "signatures")
     first = written(rows.groupBy("node").agg(F.min("rid").alias("rid")), "nodes")
     keyed = rows.select("node", F.explode("bands").alias("key")).distinct()
@@ -216,9 +237,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     groups = first.join(labels, "node", "left").select("node", "rid", F.coalesce("label", "node").alias("label"))
     ids = groups.groupBy("label").agg(F.min("rid").alias("class_id"))
     nodes = groups.join(ids, "label").select("node", "class_id")
-    out = written(rows.select("doc_id", "node").join(nodes, "node").select("doc_id", "class_id"), "classes")
-    return out.join(out.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class_id") \
-        .select("doc_id", "class_id", "class_size")
+    return written(rows.select("rid", "doc_id", "node").join(nodes, "node").select("rid", "doc_id", "class_id"), "classes")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from importlib import import_module
 
-MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix", "language_id", "quality", "mixing"]
+import corpus_pipeline
+
+MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix", "language_id", "quality", "mixing", "extendible_sharding", "curve_search"]
 
 
 def queries() -> dict:
     out = {}
     for name in MODULES:
         out.update(import_module(f"tillspark.llm.{name}").QUERIES)
+    out["pipeline"] = corpus_pipeline.run
     return out
 
 

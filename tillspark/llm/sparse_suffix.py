@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import chunks, documents, texts_of, written
-from .dart_minhash import row_key
+from .dart_minhash import row_id, row_key
 from .wordhash import Words, range_hashes
 from .wordpool import ragged
 
@@ -189,8 +189,7 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the words of the spans cut out of ``text``; blanks around them join to one."""
     cut = spans.groupBy(F.col("doc_id").alias("_rid")).agg(
         F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("_spans"))
-    by_text = -1 - F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
-    rows = (docs.withColumn("_rid", F.coalesce("doc_id", by_text)).join(cut, "_rid", "left")
+    rows = (docs.withColumn("_rid", row_id()).join(cut, "_rid", "left")
             .select(*docs.columns, "_spans"))
     columns = docs.columns
 
