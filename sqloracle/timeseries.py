@@ -26,12 +26,12 @@ SELECT Country, ds, y,
             ELSE 'test' END AS split
 FROM series"""
 
+# the eleven inner values of the centred window, from the first to the last
+_AROUND = [f"lag(y, {k}) {_W}" for k in range(5, 0, -1)] + ["y"] + [f"lead(y, {k}) {_W}" for k in range(1, 6)]
+
 DECOMP = SERIES + f""",
 s AS (SELECT *, row_number() {_W} - 1 AS i, count(*) OVER (PARTITION BY Country) AS n,
-             CAST(2 * sum(CAST(y AS DECIMAL(20,2))) OVER (PARTITION BY Country ORDER BY ds
-                                                            ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)
-                  - lag(CAST(y AS DECIMAL(20,2)), 6) {_W} - lead(CAST(y AS DECIMAL(20,2)), 6) {_W} AS DOUBLE) / 24
-               AS ma_raw
+             ((lag(y, 6) {_W} + lead(y, 6) {_W}) / 2 + ({" + ".join(_AROUND)})) / 12 AS ma_raw
       FROM series),
 s2 AS (SELECT *, CASE WHEN i >= 6 AND i <= n - 7 THEN ma_raw END AS ma FROM s),
 s3 AS (SELECT *,
@@ -59,14 +59,11 @@ SQL["seasonal_index"] = DECOMP + f"""
 SELECT Country, CAST(month(ds) AS INTEGER) AS month, {sround('avg(seasonal)', 2)} AS seasonal_effect
 FROM decomp GROUP BY 1, 2"""
 
-_LAGS = " UNION ALL ".join(
-    f"SELECT Country, {k} AS lag, sum(dev * l{k}) AS c FROM d GROUP BY Country" for k in range(0, 13))
 SQL["acf"] = SERIES + f""",
 d0 AS (SELECT Country, ds, y - avg(y) OVER (PARTITION BY Country) AS dev FROM series),
-d AS (SELECT Country, dev, dev AS l0, {", ".join(f"lead(dev, {k}) {_W} AS l{k}" for k in range(1, 13))} FROM d0),
-c AS ({_LAGS})
-SELECT c.Country, CAST(c.lag AS INTEGER) AS lag, round(c.c / c0.c, 6) AS acf
-FROM c JOIN (SELECT Country, c FROM c WHERE lag = 0) c0 USING (Country)"""
+d AS (SELECT Country, dev, {", ".join(f"lead(dev, {k}) {_W} AS l{k}" for k in range(1, 13))} FROM d0),
+c AS (SELECT Country, [sum(dev * dev), {", ".join(f"sum(dev * l{k})" for k in range(1, 13))}] AS g FROM d GROUP BY Country)
+SELECT Country, CAST(k AS INTEGER) AS lag, round(g[k + 1] / g[1], 6) AS acf FROM c, range(0, 13) t(k)"""
 
 SQL["forecast_metrics"] = SERIES + f""",
 p AS (SELECT Country, y AS actual, lag(y, 12) {_W} AS predicted FROM series),
@@ -85,6 +82,9 @@ from sqloracle.ets import fit_ctes, forecast_select  # noqa: E402
 
 _REC = SERIES.replace("WITH ", "WITH RECURSIVE ", 1)
 SQL["ets_fit"] = _REC + "," + fit_ctes("series", "e") + " SELECT * EXCLUDE (season) FROM e_fit"
+SQL["ets_season"] = _REC + "," + fit_ctes("series", "e") + """
+SELECT Country, form, CAST(generate_subscripts(season, 1) - 1 AS INTEGER) AS slot, unnest(season) AS season
+FROM e_fit WHERE form IN ('add', 'mul')"""
 SQL["ets_forecast"] = _REC + "," + fit_ctes("series", "e") + forecast_select("e_fit", "6")
 
 from sqloracle.base import sround as _sr  # noqa: E402
@@ -118,7 +118,11 @@ future AS (""" + forecast_select("(SELECT f.* FROM fu_fit f JOIN chosen c ON c.C
                                  "6") + """)
 """
 
-SQL["model_selection"] = _SELECTION + "SELECT Country, ets_form, 'ets' AS winner FROM chosen"
+SQL["model_selection"] = _SELECTION + """
+SELECT Country, ets_form, CASE WHEN ets_form IS NOT NULL THEN 'ets' END AS winner,
+       CASE WHEN ets_form IS NULL THEN 'no fit' WHEN f.form IS NULL THEN 'no refit' ELSE 'ok' END AS status
+FROM (SELECT DISTINCT Country FROM series) LEFT JOIN chosen USING (Country)
+LEFT JOIN fu_fit f USING (Country) WHERE f.form IS NULL OR f.form = ets_form"""
 SQL["model_evaluation"] = _SELECTION + """
 SELECT Country, strftime(ds, '%Y-%m') AS YearMonth, actual AS Actual, ets_pred AS ETS_Pred, ets_ape AS ETS_APE
 FROM evaluation"""
@@ -133,6 +137,10 @@ SELECT f.Country, strftime(f.ds, '%Y-%m') AS YearMonth, {_sr('f.forecast', 2)} A
        {_sr('f.lower', 2)} AS Lower_80CI, {_sr('f.upper', 2)} AS Upper_80CI,
        'Holt-Winters (' || p.label || ')' AS ModelUsed
 FROM future f JOIN prio p USING (form)"""
+# the same statement over one series named after no country
+SQL["revenue_forecast_total"] = SQL["revenue_forecast"].replace(SERIES.replace("WITH ", "WITH RECURSIVE ", 1), SERIES.replace(
+    "WITH ", "WITH RECURSIVE ", 1).replace("SELECT Country, CAST(date_trunc", "SELECT 'total' AS Country, CAST(date_trunc")
+    ).replace("SELECT f.Country, strftime", "SELECT strftime")
 
 # PACF by Durbin-Levinson on biased autocovariances: a recursive CTE over the lag.
 SQL["pacf"] = _REC + """,

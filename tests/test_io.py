@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from tillspark import schemas
 from tillspark.operators.cleaning import clean_sales
 from tillspark.sources import files
@@ -54,8 +56,37 @@ def test_warehouse_write_read_roundtrip(spark, tmp_path):
     rows = [("1", "A0001", "Lamp", 2, dt.datetime(2010, 12, 1, 8), Decimal("1.5000"), 10, "EIRE"),
             ("2", "B0002", "Mug", 1, dt.datetime(2011, 1, 5, 9), Decimal("3.0000"), None, "Japan")]
     sales = add_features(spark.createDataFrame(rows, schemas.RAW_SALES))
-    WH.write_warehouse(WH.build_warehouse(sales), str(tmp_path / "wh"))
+    built = WH.build_warehouse(sales)
+    built.inventory_risk = WH.inventory_risk(built)
+    built.forecast_results = spark.createDataFrame([("2011-02", Decimal("4.00"), Decimal("3.00"), Decimal("5.00"), "m")],
+                                                   schemas.FORECAST_RESULTS)
+    at = WH.write_warehouse(built, str(tmp_path / "wh"))
     w = WH.read_warehouse(spark, str(tmp_path / "wh"))
-    ids = [r.sale_id for r in spark.read.parquet(str(tmp_path / "wh/fact_sales")).collect()]
-    assert len(set(ids)) == 2
+    ids = [r.sale_id for r in spark.read.parquet(f"{at}/fact_sales").collect()]
+    assert len(set(ids)) == 2 and w.inventory_risk.count() == 2
+    assert [r.forecast_revenue for r in R.q02_actual_vs_forecast(w).collect()] == [None, None, 4.0]
+    # a load may read what it replaces
+    assert WH.write_warehouse(w, str(tmp_path / "wh")) != at
+    assert WH.read_warehouse(spark, str(tmp_path / "wh")).fact.count() == 2
     assert {r.year_month: r.total_revenue for r in R.q01_monthly_revenue(w).collect()} == {"2010-12": 3.0, "2011-01": 3.0}
+
+
+def test_load_raw_reads_float_ids_and_counts_bad_fields(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text("a,b,c,d,e,f,g,h\n1,A1,Lamp,2,2010-12-01 08:00:00,1.5,17850.0,EIRE\n"
+                 "2,B2,Mug,six,2010-12-01 08:00:00,1.5,,EIRE\n3,B2,Mug,1,2010-12-01 08:00:00,1.5,1.5,EIRE\n")
+    rows = files.load_raw(spark, str(p), on_bad="count").orderBy("Invoice").collect()
+    assert [r.CustomerID for r in rows] == [17850, None, None]
+    assert [r.Quantity for r in rows] == [2, None, 1] and [r.bad_fields for r in rows] == [0, 1, 1]
+    with pytest.raises(ValueError, match="2 fields"):
+        files.load_raw(spark, str(p))
+
+
+def test_read_csv_matches_by_name(spark, tmp_path):
+    p = tmp_path / "fc.csv"
+    p.write_text("ModelUsed,Upper_80CI,YearMonth,ForecastRevenue,Lower_80CI,more\nm,3.0,2011-02,2.0,1.0,x\n")
+    (r,) = files.load_forecast(spark, str(p)).collect()
+    assert (r.year_month, float(r.forecast_revenue), float(r.lower_80ci), float(r.upper_80ci)) == ("2011-02", 2.0, 1.0, 3.0)
+    p.write_text("YearMonth\n2011-02\n")
+    with pytest.raises(ValueError, match="missing"):
+        files.load_forecast(spark, str(p))

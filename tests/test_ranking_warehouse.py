@@ -139,3 +139,20 @@ def test_constraints_count_violations(spark, wh):
     got = {r.check_name: r.violations for r in WH.dq_constraints(broken).collect() if r.violations}
     # as in SQL, a NULL passes a CHECK; the NOT NULL check reports it
     assert got == {"fk(product_key)": 1, "not_null(quantity)": 1, "check(quantity>0 and unit_price>0)": 1}
+
+
+def test_numbers_and_quantiles_hold_without_a_cache(spark):
+    from pyspark.sql import functions as F
+
+    from tillspark.operators.quantiles import exact_quantiles
+    df = spark.range(300_000, numPartitions=8).select(
+        F.xxhash64("id").alias("v"), "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    numbered = global_row_number(df, ["v", "id"], out="rn", num_partitions=16)
+    spark.catalog.clearCache()
+    for _ in range(2):
+        row = numbered.agg(F.count_distinct("rn").alias("n"), F.min("rn").alias("lo"), F.max("rn").alias("hi")).first()
+        assert (row.n, row.lo, row.hi) == (300_000, 1, 300_000)
+    q = exact_quantiles(df.select((F.col("id") % 3).alias("g"), (F.col("id") % 1000).cast("double").alias("x"), "payload"),
+                        ["g"], "x", [0.5])
+    spark.catalog.clearCache()
+    assert all(abs(r.q0 - 499.5) < 2 for r in q.collect()) and q.count() == 3

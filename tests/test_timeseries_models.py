@@ -193,3 +193,19 @@ def test_order_search_stepwise_vs_exhaustive(spark):
     assert full.candidates == 16 and step.candidates <= 16
     assert full.aic <= step.aic + 1e-9
     assert step.sd == 1 and 0 <= step.p <= 1 and 0 <= step.sq <= 1
+
+
+def test_decomposition_keeps_small_values(spark):
+    from tillspark.operators.timeseries import seasonal_decompose
+    rows = seasonal_decompose(series_df(spark, [0.001 * (i + 1) for i in range(36)]), ["k"]).orderBy("ds").collect()
+    assert all(abs(r.trend - 0.001 * (i + 1)) < 1e-12 for i, r in enumerate(rows))
+
+
+def test_one_total_series_and_short_series(spark):
+    from tillspark.plans.forecasting import model_selection
+    total = model_selection(series_df(spark, [100.0 + 3 * i for i in range(20)]).drop("k"), [])
+    assert total["forecast"].count() == 6 and total["selection"].first().status == "ok"
+    both = series_df(spark, range(1, 21)).unionByName(
+        series_df(spark, [5.0, 6.0]).withColumn("k", F.lit("short")))
+    status = {r.k: r.status for r in model_selection(both, ["k"])["selection"].collect()}
+    assert status.pop("short") == "no fit" and set(status.values()) == {"ok"}

@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillspark.session import ship_package
 
 Z80 = 1.2815515655446004  # standard normal quantile at 0.9 (two-sided 80 %)
 
@@ -242,7 +241,6 @@ def sarima_forecast(series: DataFrame, keys: Sequence[str], order: Order = Order
                 for i in range(h)]
         return pd.DataFrame(rows, columns=schema.fieldNames())
 
-    ship_package(series.sparkSession)
     return data.groupBy(*keys).applyInPandas(fn, schema=schema)
 
 
@@ -331,7 +329,6 @@ def sarima_order_search(series: DataFrame, keys: Sequence[str], max_p: int = 3,
             return pd.DataFrame([{**kv, "p": p, "d": d, "q": q, "sp": P, "sd": D_, "sq": Q, "m": m, "aic": best_aic,
                                   "candidates": n}], columns=out_schema.fieldNames())
 
-        ship_package(series.sparkSession)
         return data.groupBy(*keys).applyInPandas(walk, schema=out_schema)
     grid = [(p, q, P, Q) for p, q, P, Q in product(range(max_p + 1), range(max_q + 1), range(max_P + 1),
                                                    range(max_Q + 1))]
@@ -359,7 +356,6 @@ def sarima_order_search(series: DataFrame, keys: Sequence[str], max_p: int = 3,
                               "aic": aic(sse, n_eff, len(params)), "sse": sse, "status": status}],
                             columns=schema.fieldNames())
 
-    ship_package(series.sparkSession)
     fits = data.groupBy(*keys, "p", "q", "sp", "sq").applyInPandas(fn, schema=schema)
     ok = fits.filter((F.col("status") == "ok") & (F.col("aic") < F.lit(float("inf"))))
     best = ok.groupBy(*keys).agg(F.min(F.struct("aic", "p", "d", "q", "sp", "sd", "sq", "m")).alias("b"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import schemas
-from tillspark.session import persist_reused
+from tillspark.session import written
 from tillspark.functions.text import is_missing_text, strip_all, title_case
 from tillspark.operators.features import add_features
 
@@ -69,11 +69,11 @@ def remove_noise(df: DataFrame, codes: Sequence[str] = tuple(schemas.NOISE_CODES
 def group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
     """Most frequent non-missing ``col`` per ``key``, the smallest on ties.
 
-    ``mode`` aggregates partially in each map task (value -> count maps), so a hot key
-    ships one small map per task, never its rows.
+    Counts per (key, value) first, then the best of them per key: no task holds a map of
+    all values of a key.
     """
-    return (df.filter(F.col(col).isNotNull())
-            .groupBy(key).agg(F.mode(col, deterministic=True).alias(f"_mode_{col}")))
+    counts = df.filter(F.col(col).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(key).agg(F.min_by(col, F.struct((-F.col("_n")).alias("n"), F.col(col))).alias(f"_mode_{col}"))
 
 
 def fill_by_group_mode(df: DataFrame, key: str = "StockCode", col: str = "Description",
@@ -82,13 +82,11 @@ def fill_by_group_mode(df: DataFrame, key: str = "StockCode", col: str = "Descri
 
     Only the lines that need a fill meet the mode table; lines that already have a
     value pass through untouched, so the fact-sized side is never shuffled for the join.
-    The input is persisted because it is read three times; a lost block is recomputed
-    from its lineage with the same content.
+    The lines are read three times (modes, complete, missing), and the branch filters
+    would be pushed below an earlier de-duplication and run it three times, so they are
+    written to the shared folder once.
     """
-    # The lines are read three times (modes, complete, missing). Without a cache the
-    # branch filters are pushed below the de-duplication, the branches stop sharing
-    # one exchange, and scan + de-duplication would run three times.
-    df = persist_reused(df)
+    df = written(df, "lines")
     modes = group_mode(df, key, col)
     complete = df.filter(F.col(col).isNotNull())
     missing = (df.filter(F.col(col).isNull())
@@ -105,7 +103,7 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     codes -> fill descriptions -> date parts and revenue. The reference fills before it
     drops noise codes; the result is the same (modes are per stock code and noise codes
     leave entirely), and filtering first lets the predicate reach the scan and keeps
-    noise lines out of the cached input of the fill.
+    noise lines out of the written input of the fill.
     """
     df = normalize_text(raw)
     df = drop_duplicate_rows(df)

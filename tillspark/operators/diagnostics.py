@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillspark.session import ship_package
 
 # ---------------------------------------------------------------------------
 # MacKinnon (1994) response-surface coefficients for the ADF p-value and
@@ -133,7 +132,6 @@ def pacf(series: DataFrame, keys: Sequence[str], lags: int = 12, y: str = "y") -
         return pd.DataFrame([{**kv, "lag": i, "pacf": float(v)} for i, v in enumerate(vals)],
                             columns=schema.fieldNames())
 
-    ship_package(series.sparkSession)
     return data.groupBy(*keys).applyInPandas(fn, schema=schema)
 
 
@@ -171,5 +169,4 @@ def adf_test(series: DataFrame, keys: Sequence[str], y: str = "y", alpha: float
                          "stationary": bool(p < alpha)})
         return pd.DataFrame(rows, columns=schema.fieldNames())
 
-    ship_package(series.sparkSession)
     return data.groupBy(*keys).applyInPandas(fn, schema=schema)

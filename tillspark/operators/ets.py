@@ -129,7 +129,7 @@ def _search(arrays: DataFrame, keys: list[str], form: str, m: int, candidates: C
 
 def ets_fit(series: DataFrame, keys: Sequence[str], forms: Sequence[str] = FORMS, y: str = "y",
             period: int = schemas.SEASON, coarse: Sequence[float] = COARSE, refine: bool = True,
-            engine: str = "numpy") -> DataFrame:
+            engine: str = "numpy", form_column: str | None = None) -> DataFrame:
     """Best smoothing parameters and final state per series and form.
 
     ``engine='numpy'`` (default) runs the search in one grouped pandas function per
@@ -141,12 +141,15 @@ def ets_fit(series: DataFrame, keys: Sequence[str], forms: Sequence[str] = FORMS
     Columns: keys, form, alpha, beta, gamma, sse, resid_std (population std of the
     one-step errors), level, trend, season, steps (points folded), n, last_ds. Seasonal
     forms need two full cycles, the others three points; shorter series get no row for
-    that form. NaN/inf SSE (e.g. ``mul`` on a series with zeros) never wins.
+    that form. NaN/inf SSE (e.g. ``mul`` on a series with zeros) never wins. ``form_column``
+    names a column of ``series`` with the one form to fit to each series.
     """
     keys = list(keys)
+    if form_column and engine != "numpy":
+        raise ValueError("form_column needs the numpy engine")
     if engine == "numpy":
         from tillspark.operators.ets_numpy import ets_fit_grouped
-        return ets_fit_grouped(series, keys, forms, y, period, coarse, refine)
+        return ets_fit_grouped(series, keys, forms, y, period, coarse, refine, form_column)
     arrays = series_arrays(series, keys, y)
     out = None
     for form in forms:

@@ -13,9 +13,9 @@ from itertools import product
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillspark.session import ship_package
 
 SEASONAL = ("add", "mul")
 FINE_STEP = 0.1
@@ -139,12 +139,13 @@ def fit_schema(series: DataFrame, keys: list[str]) -> T.StructType:
         T.StructField("n", T.IntegerType()), T.StructField("last_ds", T.DateType())])
 
 
-def ets_fit_grouped(series: DataFrame, keys: list[str], forms, y: str, period: int, coarse, refine: bool) -> DataFrame:
+def ets_fit_grouped(series: DataFrame, keys: list[str], forms, y: str, period: int, coarse, refine: bool,
+                    form_column: str | None = None) -> DataFrame:
     forms, coarse = tuple(forms), tuple(coarse)
-    data = series.select(*keys, "ds", series[y].cast("double").alias("_y"))
+    wanted = [F.col(form_column).alias("_form")] if form_column else []
+    data = series.select(*keys, "ds", F.col(y).cast("double").alias("_y"), *wanted)
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _fit_one(pdf, keys, forms, period, coarse, refine)
+        return _fit_one(pdf, keys, (pdf["_form"].iloc[0],) if form_column else forms, period, coarse, refine)
 
-    ship_package(series.sparkSession)
     return data.groupBy(*keys).applyInPandas(fn, schema=fit_schema(series, keys))

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillspark.session import persist_reused
+from tillspark.session import written
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float],
@@ -34,7 +34,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*groups, value]
     pairs = (df.filter(F.col(value).isNotNull()).groupBy(*order).agg(F.count(F.lit(1)).alias("_c")))
-    ranged = persist_reused(pairs.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    # written once: every branch below must see the same (sampled) ranges
+    ranged = written(pairs.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranged")
     run = F.sum("_c").over(Window.partitionBy("_pid").orderBy(*order)
                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))

@@ -7,9 +7,10 @@ partition, so its size is bounded by the partition count, not the data) is broad
 turn local positions into global ones. The NTILE bucket then follows in closed form from
 the global position and the total count.
 
-The ranged data is persisted because it is read twice (counts and numbering). A lost
-block is recomputed from the same range partitioner with a total order, so the numbers
-do not change.
+The ranged rows are written once with their position (partition and row number), because
+counts and numbering must see the same partitions: range bounds are sampled anew whenever
+such a plan runs again, so two plans need not agree. Whatever is evicted or recomputed
+later reads the written rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillspark.session import persist_reused
+from tillspark.session import written
 
 _PID, _MID, _LRN, _OFF, _TOT = "_rk_pid", "_rk_mid", "_rk_lrn", "_rk_off", "_rk_total"
 
@@ -43,7 +44,7 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
               .withColumn(_MID, F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition index << 33) + position in partition.
     ranged = ranged.withColumn(_LRN, F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33) + 1)
-    ranged = persist_reused(ranged.drop(_MID))
+    ranged = written(ranged.drop(_MID), "ranged")
 
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy(_PID)  # over at most n rows: one per partition
@@ -79,13 +80,3 @@ def scalable_ntile(df: DataFrame, k: int, order: Sequence[str | Column], out: st
     return numbered.withColumn(out, ntile_expr(F.col("_nt_rn"), F.col("_nt_total"), k)) \
         .drop("_nt_rn", "_nt_total")
 
-
-def dense_keys(df: DataFrame, key: str, out: str, num_partitions: int | None = None) -> DataFrame:
-    """Surrogate keys 1..n in the order of distinct ``key`` values.
-
-    The distinct values are numbered with ``global_row_number``; no step sees all keys
-    in one task.
-    """
-    distinct = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    return global_row_number(distinct, [key], out=out, num_partitions=num_partitions) \
-        .select(F.col(out).cast("bigint").alias(out), key)

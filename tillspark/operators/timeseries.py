@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,14 +79,13 @@ def seasonal_decompose(series: DataFrame, keys: Sequence[str] | str | None = Non
     s = (series.withColumn("_i", F.row_number().over(w) - 1)
          .withColumn("_n", F.count(F.lit(1)).over(wall)))
     i, n = F.col("_i"), F.col("_n")
-    # Window sums in exact decimals (the series are sums of cents), one division at the
-    # end: the trend does not depend on the order in which the window is added up.
-    yd = F.col(y).cast("decimal(20,2)")
-    window_sum = F.sum(yd).over(w.rowsBetween(-h, h))
-    if period % 2 == 0:
-        ma = (2 * window_sum - F.lag(yd, h).over(w) - F.lead(yd, h).over(w)).cast("double") / (2 * period)
-    else:
-        ma = window_sum.cast("double") / period
+    # The window is added up from its first to its last value, one division at the end: the
+    # trend does not depend on how an engine keeps a running sum.
+    yd = F.col(y).cast("double")
+    at = lambda k: yd if k == 0 else F.lag(yd, -k).over(w) if k < 0 else F.lead(yd, k).over(w)
+    inner = range(-h + 1, h) if period % 2 == 0 else range(-h, h + 1)
+    total = reduce(add, [at(k) for k in inner])
+    ma = ((at(-h) + at(h)) / 2 + total) / period if period % 2 == 0 else total / period
     s = s.withColumn("_ma", F.when((i >= h) & (i <= n - 1 - h), ma))
     front = (i >= h) & (i <= h + period - 1)
     back = (i >= n - h - period) & (i <= n - 1 - h)

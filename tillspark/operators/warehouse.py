@@ -19,10 +19,10 @@ Design notes for scale
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +42,7 @@ class Warehouse:
     dim_country: DataFrame
     fact: DataFrame
     forecast_results: DataFrame | None = None
+    inventory_risk: DataFrame | None = None
 
     def fact_dated(self) -> DataFrame:
         """Fact lines with their date attributes (fact x dim_date)."""
@@ -72,9 +73,10 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 def dim_product(sales: DataFrame) -> DataFrame:
     """One row per stock code: most frequent description (lowest on ties), key in code order."""
-    products = sales.groupBy("StockCode").agg(
-        F.coalesce(F.mode("Description", deterministic=True), F.lit(schemas.DEFAULT_DESCRIPTION))
-        .alias("description"))
+    counts = sales.groupBy("StockCode", "Description").agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.struct(F.col("Description").isNull().alias("missing"), (-F.col("_n")).alias("n"), F.col("Description"))
+    products = counts.groupBy("StockCode").agg(
+        F.coalesce(F.min_by("Description", rank), F.lit(schemas.DEFAULT_DESCRIPTION)).alias("description"))
     numbered = global_row_number(products, ["StockCode"], out="product_key")
     return numbered.select(F.col("product_key").cast("bigint"),
                            F.col("StockCode").alias("stock_code"), "description")
@@ -146,25 +148,18 @@ def fact_sales(sales: DataFrame, products: DataFrame, countries: DataFrame,
                          "country_key", "quantity", "unit_price", "total_revenue")
 
 
-def with_sale_id(fact: DataFrame, dense: bool = False) -> DataFrame:
+def with_sale_id(fact: DataFrame) -> DataFrame:
     """Add ``sale_id`` in (date_key, invoice_no, product_key, ...) order.
 
-    The fact is range-partitioned on that order and sorted within partitions. By
-    default the id is (range index << 33) + position in the partition: unique,
-    increasing in date order, deterministic (a recomputed partition gets the same range
-    and the same sorted rows), with gaps between partitions, like a database sequence.
-    It needs one range shuffle and nothing else. ``dense=True`` numbers 1..n without
-    gaps through ``global_row_number``, at the price of a second pass over the fact
-    for the per-partition counts.
+    The fact is range-partitioned on that order and sorted within partitions; the id is
+    (range index << 33) + position in the partition: unique and increasing in date order,
+    with gaps between partitions, like a database sequence. Range bounds are sampled when
+    the plan runs, so write the result before reading it twice.
     """
     order = ["date_key", "invoice_no", "product_key", "customer_key", "country_key",
              "quantity", "unit_price", "total_revenue"]
-    if dense:
-        numbered = global_row_number(fact, order, out="sale_id")
-    else:
-        n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        numbered = (fact.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                    .withColumn("sale_id", F.monotonically_increasing_id()))
+    numbered = (fact.repartitionByRange(*order).sortWithinPartitions(*order)
+                .withColumn("sale_id", F.monotonically_increasing_id()))
     return numbered.select(F.col("sale_id").cast("bigint"), *fact.columns)
 
 
@@ -181,13 +176,16 @@ def build_warehouse(sales: DataFrame, regions: DataFrame | None = None,
 def fk_orphans(lines: DataFrame, products: DataFrame, countries: DataFrame) -> DataFrame:
     """Lines whose product or country lookup fails, counted per foreign key (C4).
 
-    ``left_anti`` joins against the key columns only.
+    Lines are counted per key first, so only key-sized tables are joined.
     """
-    prod = lines.join(products.select(F.col("stock_code").alias("StockCode")), "StockCode", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit("product_key").alias("fk"), "orphan_rows")
-    ctry = lines.join(countries.select(F.col("country_name").alias("Country")), "Country", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit("country_key").alias("fk"), "orphan_rows")
-    return prod.unionByName(ctry)
+    def orphans(column: str, parent: DataFrame, parent_key: str, fk: str) -> DataFrame:
+        counts = lines.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        return (counts.join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
+                .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
+                .select(F.lit(fk).alias("fk"), "orphan_rows"))
+
+    return (orphans("StockCode", products, "stock_code", "product_key")
+            .unionByName(orphans("Country", countries, "country_name", "country_key")))
 
 
 def _pick(df: DataFrame, keys: list[str], rank: list[Column], largest: bool) -> DataFrame:
@@ -239,9 +237,9 @@ def distinct_on(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -
 def dq_constraints(w: Warehouse) -> DataFrame:
     """Violation counts of the schema's constraints, one row per check.
 
-    Primary/unique keys by group-having counts on the dimensions; NOT NULL, foreign
-    keys (left joins with the distinct parent keys) and the CHECK in one aggregate over
-    the fact, so the fact is read once. All zero on a good load.
+    Primary/unique keys by group-having counts on the dimensions; NOT NULL and the CHECK in
+    one aggregate over the fact; foreign keys by counting the fact per key first and joining
+    those key-sized tables with the parents. All zero on a good load.
     """
     def dup(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
         return (df.groupBy(*cols).count().filter("count > 1")
@@ -254,18 +252,16 @@ def dq_constraints(w: Warehouse) -> DataFrame:
                   ("customer_key", w.dim_customer, "customer_key"), ("country_key", w.dim_country, "country_key")]
     not_null = ["invoice_no", "date_key", "product_key", "customer_key", "country_key", "quantity", "unit_price",
                 "total_revenue"]
-    # One pass over the fact for NOT NULL, foreign keys and the CHECK: left joins with the
-    # distinct parent keys (dimension-sized), then a single aggregate.
-    checked = fact
-    for col, parent, pcol in fk_parents:
-        keys = parent.select(F.col(pcol).alias(col)).distinct().withColumn(f"_fk_{col}", F.lit(True))
-        checked = checked.join(keys, col, "left")
-    counts = checked.agg(
+    def fk(col: str, parent: DataFrame, pcol: str) -> DataFrame:
+        used = fact.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+        return (used.join(parent.select(F.col(pcol).alias(col)), col, "left_anti")
+                .agg(F.lit("fact_sales").alias("table_name"), F.lit(f"fk({col})").alias("check_name"),
+                               F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")))
+
+    counts = fact.agg(
         *[F.count_if(F.col(c).isNull()).alias(f"nn_{c}") for c in not_null],
-        *[F.count_if(F.col(f"_fk_{c}").isNull()).alias(f"fk_{c}") for c, _, _ in fk_parents],
         F.count_if(~(F.col("quantity") > 0) | ~(F.col("unit_price") > 0)).alias("ck"))
-    rows = ([(f"not_null({c})", f"nn_{c}") for c in not_null] + [(f"fk({c})", f"fk_{c}") for c, _, _ in fk_parents]
-            + [("check(quantity>0 and unit_price>0)", "ck")])
+    rows = [(f"not_null({c})", f"nn_{c}") for c in not_null] + [("check(quantity>0 and unit_price>0)", "ck")]
     fact_checks = counts.select(F.explode(F.array(*[
         F.struct(F.lit("fact_sales").alias("table_name"), F.lit(name).alias("check_name"),
                  F.col(c).cast("bigint").alias("violations")) for name, c in rows])).alias("s")).select("s.*")
@@ -276,6 +272,7 @@ def dq_constraints(w: Warehouse) -> DataFrame:
         dup(w.dim_customer, "dim_customer", ["customer_id"]),
         dup(w.dim_country, "dim_country", ["country_name"]),
         fact_checks,
+        *[fk(*parent) for parent in fk_parents],
     ]
     out = checks[0]
     for c in checks[1:]:
@@ -284,11 +281,12 @@ def dq_constraints(w: Warehouse) -> DataFrame:
 
 
 def load_validation(w: Warehouse, extra: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Row count of every table, one row per table."""
+    """Row count of every table, one row per table (D15); a table not loaded counts 0."""
+    empty = w.sales.sparkSession.range(0)
     tables = {"staging_sales": w.sales, "fact_sales": w.fact, "dim_date": w.dim_date,
-              "dim_product": w.dim_product, "dim_customer": w.dim_customer, "dim_country": w.dim_country}
-    if w.forecast_results is not None:
-        tables["forecast_results"] = w.forecast_results
+              "dim_product": w.dim_product, "dim_customer": w.dim_customer, "dim_country": w.dim_country,
+              "forecast_results": w.forecast_results if w.forecast_results is not None else empty,
+              "inventory_risk": w.inventory_risk if w.inventory_risk is not None else empty}
     tables.update(extra or {})
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
@@ -332,37 +330,52 @@ def inventory_risk(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
 
 
 TABLE_NAMES = ("dim_date", "dim_product", "dim_customer", "dim_country", "fact_sales")
+REPORT_TABLES = ("forecast_results", "inventory_risk")
+CURRENT = "_current"
 
 
-def write_warehouse(w: Warehouse, path: str, with_ids: bool = True) -> None:
-    """Persist the star schema as Parquet under ``path``.
+def write_warehouse(w: Warehouse, path: str, with_ids: bool = True) -> str:
+    """Store the star schema, forecast and risk tables under ``path``.
 
-    The fact is written range-partitioned by date (``with_sale_id`` numbers it in that
-    order), partitioned on disk by ``month_key`` = yyyyMM, so date-filtered reports
-    prune whole months. Range partitioning splits a month that holds a large share of
-    the lines over several tasks instead of one.
+    Each load goes to a folder of its own; a one-row pointer table names the load to read
+    and is replaced last. A failed load leaves the former one in use, and a load may read
+    what it replaces. The fact is range-partitioned by date (``with_sale_id`` numbers it in
+    that order) and partitioned on disk by ``month_key`` = yyyyMM, so date-filtered reports
+    prune whole months and a large month is split over tasks. The cleaned sales, read by
+    five tables, are written once instead of being cached. Returns the folder of the load.
     """
     spark = w.sales.sparkSession
-    sales = w.sales.persist(StorageLevel.MEMORY_AND_DISK)  # read by four dims and the fact
-    try:
-        for name, df in (("dim_date", dim_date(sales)), ("dim_product", dim_product(sales)),
-                         ("dim_customer", dim_customer(sales)), ("dim_country", w.dim_country)):
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
-        # keys are read back from the written dimensions, not recomputed
-        fact = fact_sales(sales, spark.read.parquet(f"{path}/dim_product"),
-                          spark.read.parquet(f"{path}/dim_country"))
-        fact = with_sale_id(fact) if with_ids else fact
-        fact = fact.withColumn("month_key", (F.col("date_key") / 10000).cast("int"))
-        fact.write.mode("overwrite").partitionBy("month_key").parquet(f"{path}/fact_sales")
-    finally:
-        sales.unpersist()
-
-
-def read_warehouse(spark: SparkSession, path: str, sales: DataFrame | None = None,
-                   forecast: DataFrame | None = None) -> Warehouse:
-    """Load a star schema written by ``write_warehouse``."""
-    t = {name: spark.read.parquet(f"{path}/{name}") for name in TABLE_NAMES}
+    load = f"load-{uuid.uuid4().hex}"
+    at = f"{path.rstrip('/')}/{load}"
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return spark.read.parquet(f"{at}/{name}")
+
+    sales = store("staging_sales", w.sales)
+    store("dim_date", dim_date(sales))
+    store("dim_customer", dim_customer(sales))
+    # keys are read back from the written dimensions, not recomputed
+    products, countries = store("dim_product", dim_product(sales)), store("dim_country", w.dim_country)
+    fact = fact_sales(sales, products, countries)
+    fact = with_sale_id(fact) if with_ids else fact
+    fact = fact.withColumn("month_key", (F.col("date_key") / 10000).cast("int"))
+    fact.write.partitionBy("month_key").parquet(f"{at}/fact_sales")
+    for name in REPORT_TABLES:
+        if (table := getattr(w, name)) is not None:
+            store(name, table)
+    spark.createDataFrame([(load,)], "load string").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{CURRENT}")
+    return at
+
+
+def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
+    """The current load written by ``write_warehouse``."""
+    at = f"{path.rstrip('/')}/{spark.read.parquet(f'{path.rstrip('/')}/{CURRENT}').first().load}"
+    t = {name: spark.read.parquet(f"{at}/{name}") for name in ("staging_sales", *TABLE_NAMES)}
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(at)
+    stored = {f.getPath().getName() for f in
+              jpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jpath)}
+    reports = {name: spark.read.parquet(f"{at}/{name}") for name in REPORT_TABLES if name in stored}
     fact = t["fact_sales"].drop("sale_id")  # month_key stays: date windows prune on it
-    return Warehouse(sales=sales if sales is not None else fact, dim_date=t["dim_date"],
-                     dim_product=t["dim_product"], dim_customer=t["dim_customer"],
-                     dim_country=t["dim_country"], fact=fact, forecast_results=forecast)
+    return Warehouse(sales=t["staging_sales"], dim_date=t["dim_date"], dim_product=t["dim_product"],
+                     dim_customer=t["dim_customer"], dim_country=t["dim_country"], fact=fact, **reports)

@@ -98,8 +98,16 @@ def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schem
     first form that fits in the order add, mul, none, simple (script rule). With
     ``include_sarima`` the SARIMA order competes and wins ties (MAPE <=). Returns
     ``selection``, ``evaluation``, ``summary`` and ``forecast`` tables.
+
+    No ``keys`` means one total series. ``selection`` has a row for every series: its status
+    is ``no fit`` where no form fits the training months (fewer than three), ``no refit``
+    where the chosen form fails on the full history, else ``ok``; only ``ok`` series have
+    forecast rows.
     """
     keys = list(keys)
+    if not keys:
+        tables = model_selection(series.withColumn("_total", F.lit(True)), ["_total"], ratio, h, forms, rule, include_sarima, order)
+        return {name: table.drop("_total") for name, table in tables.items()}
     train, test, horizon = _holdout(series, keys, ratio)
     fits = ETS.ets_fit(train, keys, forms)
     fc = ETS.ets_forecast(fits.join(horizon, keys), keys, "_h")
@@ -137,17 +145,21 @@ def model_selection(series: DataFrame, keys: Sequence[str], ratio: float = schem
     by_kind = summary.groupBy(*keys).agg(
         F.min_by("_kind", F.struct(F.coalesce(F.when(~F.isnan("_mape"), F.col("_mape")), F.lit(float("inf"))),
                                    F.when(F.col("_kind") == "sarima", 0).otherwise(1))).alias("winner"))
-    selection = chosen.join(by_kind, keys)
-
-    # refit the winner on the full history and forecast h months
-    full_fits = ETS.ets_fit(series, keys, forms).join(chosen.withColumnRenamed("ets_form", "form"), [*keys, "form"])
+    picked = chosen.join(by_kind, keys)
+
+    # refit the chosen form on the full history and forecast h months
+    full_fits = ETS.ets_fit(series.join(chosen.withColumnRenamed("ets_form", "form"), keys), keys, forms, form_column="form")
+    refits = full_fits.select(*keys, F.lit(True).alias("_refit"))
+    status = F.when(F.col("ets_form").isNull(), "no fit").when(F.col("_refit").isNull(), "no refit").otherwise("ok")
+    selection = (series.select(*keys).distinct().join(picked, keys, "left").join(refits, keys, "left")
+                 .withColumn("status", status).drop("_refit"))
     ets_future = ETS.ets_forecast(full_fits, keys, h).join(selection.filter(F.col("winner") == "ets"), keys) \
         .select(*keys, "ds", "forecast", "lower", "upper",
                 F.concat(F.lit("Holt-Winters ("), _label(F.col("form")), F.lit(")")).alias("model"))
     future = ets_future
     if include_sarima:
-        s_future = AR.sarima_forecast(series, keys, order, h).filter(F.col("status") == "ok") \
-            .join(selection.filter(F.col("winner") == "sarima"), keys) \
+        won = selection.filter(F.col("winner") == "sarima").select(*keys)
+        s_future = AR.sarima_forecast(series.join(won, keys, "left_semi"), keys, order, h).filter(F.col("status") == "ok") \
             .select(*keys, "ds", "forecast", "lower", "upper", F.lit("SARIMA").alias("model"))
         future = future.unionByName(s_future)
 
@@ -182,24 +194,21 @@ def _inventory_risk_forecast(spark: SparkSession, sf: str) -> DataFrame:
 def forecast_entry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     k = SERIES_KEYS
 
-    def sel(part: str, sarima: bool = False):
-        return lambda s, sf: model_selection(country_series(s, sf), k, include_sarima=sarima)[part]
+    def sel(part: str):
+        return lambda s, sf: model_selection(country_series(s, sf), k)[part]
 
     return {
         "ets_fit": lambda s, sf: ETS.ets_fit(country_series(s, sf), k).drop("season"),
+        "ets_season": lambda s, sf: ETS.ets_fit(country_series(s, sf), k, ("add", "mul")).select(
+            *k, "form", F.posexplode("season").alias("slot", "season")),
         "ets_forecast": lambda s, sf: ETS.ets_forecast(ETS.ets_fit(country_series(s, sf), k), k),
         "model_selection": sel("selection"),
         "model_evaluation": sel("evaluation"),
         "model_summary": sel("summary"),
         "revenue_forecast": sel("forecast"),
-        "model_selection_sarima": sel("selection", True),
-        "model_evaluation_sarima": sel("evaluation", True),
-        "model_summary_sarima": sel("summary", True),
-        "revenue_forecast_sarima": sel("forecast", True),
-        "sarima_forecast": lambda s, sf: AR.sarima_forecast(country_series(s, sf), k),
-        "sarima_order_search": lambda s, sf: AR.sarima_order_search(country_series(s, sf), k),
+        "revenue_forecast_total": lambda s, sf: model_selection(
+            TS.monthly_series(add_features(TD.sales(s, sf))), [])["forecast"],
         "pacf": lambda s, sf: _r(DG.pacf(country_series(s, sf), k), {"pacf": 6}),
-        "adf_test": lambda s, sf: DG.adf_test(country_series(s, sf), k),
         "inventory_risk_forecast": _inventory_risk_forecast,
     }
 

@@ -18,6 +18,7 @@ from tillspark.functions.money import safe_ratio
 from tillspark.operators.quantiles import exact_quantiles
 from tillspark.operators.ranking import scalable_ntile
 from tillspark.operators.warehouse import Warehouse, inventory_risk
+from tillspark.session import written
 
 
 def _money(c: Column | str) -> Column:
@@ -99,13 +100,12 @@ def q03_yoy_growth(w: Warehouse) -> DataFrame:
 
 def q04_top_products(w: Warehouse, k: int = 20) -> DataFrame:
     """Top ``k`` products by revenue (ties by stock code)."""
-    f = w.fact.join(w.dim_product, "product_key")
-    agg = f.groupBy("stock_code", "description").agg(
+    agg = w.fact.groupBy("product_key").agg(
         F.sum("total_revenue").alias("_rev"),
         F.sum("quantity").cast("bigint").alias("total_units"),
         F.count_distinct("invoice_no").alias("num_orders"),
         F.round(F.avg("unit_price"), 2).cast("double").alias("avg_unit_price"),
-        F.count_distinct("customer_key").alias("unique_customers"))
+        F.count_distinct("customer_key").alias("unique_customers")).join(w.dim_product, "product_key")
     return (agg.orderBy(F.col("_rev").desc(), "stock_code").limit(k)
             .select("stock_code", "description", _money("_rev").alias("total_revenue"), "total_units",
                     "num_orders", "avg_unit_price", "unique_customers"))
@@ -116,12 +116,11 @@ def q05_revenue_by_country(w: Warehouse) -> DataFrame:
 
     The total is a scalar subquery over the per-country table.
     """
-    f = w.fact.join(w.dim_country, "country_key")
-    per = f.groupBy("country_name", "region").agg(
+    per = w.fact.groupBy("country_key").agg(
         F.sum("total_revenue").alias("_rev"),
         F.sum("quantity").cast("bigint").alias("total_units"),
         F.count_distinct("customer_key").alias("num_customers"),
-        F.count_distinct("invoice_no").alias("num_invoices"))
+        F.count_distinct("invoice_no").alias("num_invoices")).join(w.dim_country, "country_key")
     total = per.agg(F.sum("_rev")).scalar()
     pct = F.round(_money("_rev") * 100.0 / total.cast("double"), 2)
     return (per
@@ -146,20 +145,23 @@ def rfm_scores(w: Warehouse, k: int = schemas.RFM_TILES, recent_is_high: bool =
 
     ``recent_is_high=False`` reproduces the reference: NTILE over recency ascending, so
     the most recent customers score 1. ``True`` gives the usual RFM reading (most recent
-    = k). Ties are broken by customer key. NTILE is ``scalable_ntile``.
+    = k). Ties are broken by customer key. NTILE is ``scalable_ntile`` over the key and one
+    measure each; the scores are joined by the key.
     """
-    base = (w.fact_dated().filter(F.col("customer_key") != schemas.GUEST_KEY)
+    base = written(w.fact_dated().filter(F.col("customer_key") != schemas.GUEST_KEY)
             .groupBy("customer_key").agg(
                 F.max("full_date").alias("last_purchase_date"),
                 F.count_distinct("invoice_no").alias("frequency"),
-                F.sum("total_revenue").alias("monetary")))
+                F.sum("total_revenue").alias("monetary")), "customers")
     ref = base.agg(F.max("last_purchase_date")).scalar()
     scored = base.withColumn("recency_days", F.datediff(ref, F.col("last_purchase_date")))
     rec_order = F.col("recency_days").desc() if recent_is_high else F.col("recency_days").asc()
-    scored = scalable_ntile(scored, k, [rec_order, F.col("customer_key")], out="r_score")
-    scored = scalable_ntile(scored, k, [F.col("frequency"), F.col("customer_key")], out="f_score")
-    scored = scalable_ntile(scored, k, [F.col("monetary"), F.col("customer_key")], out="m_score")
-    return scored
+    key = F.col("customer_key")
+    for column, order, out in (("recency_days", rec_order, "r_score"), ("frequency", F.col("frequency"), "f_score"),
+                               ("monetary", F.col("monetary"), "m_score")):
+        tiles = scalable_ntile(scored.select("customer_key", column), k, [order, key], out=out)
+        base = base.join(tiles.select("customer_key", out), "customer_key")
+    return base.withColumn("recency_days", F.datediff(ref, F.col("last_purchase_date")))
 
 
 def q07_rfm(w: Warehouse, k: int = schemas.RFM_TILES, recent_is_high: bool = False) -> DataFrame:
@@ -188,11 +190,10 @@ def rfm_segment_counts(w: Warehouse, **kw) -> DataFrame:
 
 def q08_monthly_product(w: Warehouse) -> DataFrame:
     """Revenue, units and line count per month and product."""
-    f = w.fact_dated().join(w.dim_product, "product_key")
-    agg = f.groupBy("year_month", "stock_code", "description").agg(
+    agg = w.fact_dated().groupBy("year_month", "product_key").agg(
         F.sum("total_revenue").alias("_rev"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
-        F.count("invoice_no").alias("num_line_items"))
+        F.count("invoice_no").alias("num_line_items")).join(w.dim_product, "product_key")
     return agg.select("year_month", "stock_code", "description", _money("_rev").alias("revenue"),
                       "units_sold", "num_line_items").orderBy("year_month", F.col("revenue").desc(), "stock_code")
 

@@ -127,3 +127,12 @@ REVENUE_FORECAST_CSV = T.StructType([
     T.StructField("Upper_80CI", T.DoubleType()),
     T.StructField("ModelUsed", T.StringType()),
 ])
+
+# Columns of the forecast file and their names in forecast_results.
+FORECAST_COLUMN_NAMES = {
+    "YearMonth": "year_month",
+    "ForecastRevenue": "forecast_revenue",
+    "Lower_80CI": "lower_80ci",
+    "Upper_80CI": "upper_80ci",
+    "ModelUsed": "model_used",
+}

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 TARGET_PARTITION_BYTES = 200 * 1024 * 1024
@@ -66,13 +67,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to a shared file system. Only when it is
-    unset (local runs, tests) do we pick a fresh scratch folder.
+    On a cluster the launcher sets it to a shared file system. Only a local master gets a
+    fresh scratch folder where it is unset; a cluster without one is an error, because
+    executors would write to disks that others cannot see.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="tillspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
@@ -80,60 +84,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-# Intermediates the library persists because it reads them more than once. They cannot
-# be released inside the operator (the plan is lazy), so they are tracked here.
-_PERSISTED: list = []
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def persist_reused(df):
-    """Persist ``df`` (memory, spilling to disk) and remember it for ``release_cached``.
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
 
-    A lost block is recomputed from its lineage; every caller persists data whose
-    recomputation is deterministic.
+    For whatever is read more than once and must be the same each time: a lost executor or
+    a cleared cache costs a re-read, never another result. It runs a job.
     """
-    from pyspark import StorageLevel
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
-
-
-def release_cached() -> int:
-    """Unpersist every intermediate persisted by the library; returns how many."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    return n
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tillspark`` importable in Python workers (once per application).
-
-    Grouped pandas functions are pickled by reference to their module, so workers must
-    import ``tillspark``. A cluster deployment ships it with ``--py-files``; when the
-    workers cannot import it (local runs started outside the repository), the package is
-    zipped into the session's checkpoint folder and added with ``addPyFile``.
-    """
-    import zipfile
-
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        _SHIPPED.add(app)  # shared file system: the deployment ships the package
-        return
-    folder = tempfile.mkdtemp(prefix="pyfiles-", dir=base.replace("file:", ""))
-    path = os.path.join(folder, "tillspark.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _dirs, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(dirpath, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
