@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillspark import schemas
 from tillspark.operators import cleaning as C
 from tillspark.operators import warehouse as WH
 from tillspark.operators.features import add_features
@@ -22,6 +23,7 @@ from tillspark.plans import forecasting as FC
 from tillspark.plans import reports as R
 from tillspark.sources import files
 from tillspark.sources import testdata as TD
+from tillspark.session import shared_path
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -115,7 +117,11 @@ def _coerce(spark, sf):
 
 
 def _load_merge(spark, sf):
-    merged = TD.sales(spark, sf).unionByName(TD.event_sales(spark, sf))
+    paths = []
+    for part in (TD.sales(spark, sf), TD.event_sales(spark, sf)):  # two raw files, as text
+        paths.append(shared_path(spark, "raw-csv"))
+        part.select(*schemas.RAW_COLUMNS).write.option("header", True).csv(paths[-1])
+    merged = files.load_raw(spark, paths)
     return merged.groupBy("Country").agg(F.count(F.lit(1)).alias("lines"),
                                          F.sum("Quantity").cast("bigint").alias("quantity"),
                                          F.sum("Price").cast("double").alias("price_sum"))
@@ -149,12 +155,21 @@ def _llm():
         from tillspark.llm import entry as llm
         llm.queries()
     except ModuleNotFoundError as e:
-        if e.name not in ("tillspark.llm", "corpus_pipeline"):
+        if e.name not in ("tillspark.llm", "tillspark.llm.entry", "corpus_pipeline"):
             raise
         return None
     return llm
 
 
+def _stored(spark, sf) -> WH.Warehouse:
+    """The star schema with its report tables, written and read back."""
+    w = sales_warehouse(spark, sf)
+    w.inventory_risk = WH.inventory_risk(w, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST)
+    path = shared_path(spark, "warehouse")
+    WH.write_warehouse(w, path)
+    return WH.read_warehouse(spark, path)
+
+
 def _with(wh, fn, **kw):
     return lambda spark, sf: fn(wh(spark, sf), **kw)
 
@@ -175,6 +190,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "inventory_risk": _with(sales_warehouse, WH.inventory_risk, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
         "q09_risk_trend": _with(sales_warehouse, R.q09_risk_trend, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
         "q10_kpis": _with(sales_warehouse, R.q10_kpis),
+        # the same reports over the stored schema
+        "stored_q02": _with(_stored, R.q02_actual_vs_forecast),
+        "stored_q07": _with(_stored, R.q07_rfm),
+        "stored_q09": _with(_stored, R.q09_risk_trend, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
+        "stored_inventory_risk": lambda s, sf: _stored(s, sf).inventory_risk,
         # warehouse tables and load checks
         "dim_date": lambda s, sf: events_warehouse(s, sf).dim_date,
         "dim_product": lambda s, sf: sales_warehouse(s, sf).dim_product,
@@ -222,6 +242,8 @@ def oracle_sql() -> dict[str, str]:
     from sqloracle.reports import SQL
     from sqloracle.timeseries import SQL as TS
     out = SQL | TS
+    out |= {f"stored_{k}": SQL[q] for k, q in (("q02", "q02_actual_vs_forecast"), ("q07", "q07_rfm"), ("q09", "q09_risk_trend"),
+                                               ("inventory_risk", "inventory_risk"))}
     if (llm := _llm()) is not None:
         out.update(llm.oracle_sql())
     return {k: v for k, v in out.items() if k in queries()}
