@@ -38,7 +38,7 @@ ORDERS = (1, 2, 3)
 DIMS = 1 << 12
 MAX_POSITIVE, MAX_UNLABELLED = 2_500, 5_000
 EPOCHS, BATCHES = 40, 20
-RATE, DECAY = 0.02, 1e-5
+RATE, DECAY = 0.01, 1e-4
 GOOD = 0.7
 GRAM_SCALE = 0.2
 CLASSES = 5  # other, upper case, number, mark, blank
@@ -91,11 +91,17 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 11) -> np.ndarray:
-    """Weights of a linear model by Adam on the non-negative risk."""
+    """Weights of a linear model by Adam on the non-negative risk.
+
+    The steps grow shorter, and the weights of the second half of the epochs are averaged:
+    turned gradients make single steps unsteady.
+    """
     rng = np.random.default_rng(seed)
     w = np.zeros(positive.shape[1])
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
-    for _ in range(EPOCHS):
+    mean, averaged = np.zeros_like(w), 0
+    for epoch in range(EPOCHS):
+        rate = RATE * (1 - epoch / EPOCHS)
         parts = zip(np.array_split(rng.permutation(len(positive)), BATCHES),
                     np.array_split(rng.permutation(len(unlabelled)), BATCHES))
         for p, u in parts:
@@ -109,8 +115,11 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: i
             step = (good_step + bad_step if bad >= 0 else -bad_step) + DECAY * w
             t += 1
             m, v = 0.9 * m + 0.1 * step, 0.999 * v + 0.001 * step * step
-            w = w - RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return w
+            w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+            if 2 * epoch >= EPOCHS:
+                averaged += 1
+                mean += (w - mean) / averaged
+    return mean if averaged else w
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> QualityModel | None:
