@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -41,3 +42,15 @@ def test_sequences_are_views_with_masks(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     table(spark, [], tmp_path)
     assert TF.op6_token_files(spark, str(tmp_path)).collect() == []
+
+
+def test_parts_of_a_text_have_its_ids():
+    tok, rng = TF.load_tokenizer(TF.tokenizer_path()), random.Random(4)
+    encode = TF.word_encoder(tok)
+    alphabet = "abcSTé'sßÀİſŉǅǆʰ0²½ \n\t\x1c\x85\xa0.,!-_<|>ªᵃ́你"
+    for alpha in (alphabet, alphabet[:10], [c for c in alphabet if c < "\u0250"]):
+        for _ in range(1500):
+            text = "".join(rng.choice(alpha) for _ in range(rng.randint(0, 40)))
+            assert encode(TF.split_text(text))[0].tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    text = "".join(map(chr, range(1, 0x250)))
+    assert encode(TF.split_text(text))[0].tolist() == tok.encode(text, add_special_tokens=False).ids

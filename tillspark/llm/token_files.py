@@ -39,8 +39,14 @@ MAX_READERS = 10_000
 SEQUENCE = 2_048
 SEQUENCES_PER_BATCH = 128
 END_ID = 2
-# No token of this model holds a blank or line feed, so texts are cut there.
+POOL = 1_000_000
+# No token of this model holds a blank or line feed, so any text may be cut there.
 WORDS = re.compile("[^ \n]+")
+# Texts of Latin letters alone are cut as the model's own rule does, after its lower-casing:
+# contractions, runs of letters, single numbers, runs of other marks (below U+0250).
+LETTERS, NUMBERS, BLANKS = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
+PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{BLANKS}{LETTERS}{NUMBERS}]+")
+BEYOND = re.compile("[^\x00-\u024f]")
 
 
 def tokenizer_path() -> str:
@@ -56,6 +62,13 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def split_text(text: str) -> list[str]:
+    """Parts of a text whose ids, one after the other, are the ids of the text."""
+    if (text.isascii() or not (BEYOND.search(text) or "İ" in text)) and "<|" not in text:
+        return PIECES.findall(text.lower())
+    return WORDS.findall(text)
+
+
 def word_encoder(tokenizer):
     def encode(words: list[str]):
         ids = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
@@ -65,7 +78,7 @@ def word_encoder(tokenizer):
 
 
 def token_pool(path: str) -> WordPool:
-    return resident(("token pool", path), lambda: WordPool(word_encoder(load_tokenizer(path))))
+    return resident(("token pool", path), lambda: WordPool(word_encoder(load_tokenizer(path)), POOL))
 
 
 def with_shard(docs: DataFrame) -> DataFrame:
@@ -184,7 +197,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, len
                     shard = int(shards[a])
                     writer = ShardWriter(folder, shard, length, dtype)
                 for part in chunks(batch.slice(a, b - a), "text"):
-                    ids, offsets = pool.texts([WORDS.findall(t) for t in texts_of(part, "text")])
+                    ids, offsets = pool.texts([split_text(t) for t in texts_of(part, "text")])
                     writer.add(part.column("doc_id").to_pylist(), np.insert(ids, offsets[1:], end_id),
                                np.diff(offsets) + 1)
         if writer:
