@@ -62,7 +62,7 @@ def test_classes_equal_brute_force(spark, tmp_path):
 
 def test_large_buckets_lose_no_link(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(D, "SMALL", 2)
-    monkeypatch.setattr(D, "CENTRES", 1)
+    monkeypatch.setattr(D, "BLOCK", 3)
     rows = fixture(9)
     table(spark, rows, tmp_path)
     got = D.op2_minhash_near_dedup(spark, str(tmp_path)).collect()

@@ -57,14 +57,19 @@ def resident(key, make):
     return store[key]
 
 
-def chunks(batch, column: str, most_bytes: int = 3_000_000):
+def chunks(batch, column: str, most_bytes: int = 1_000_000):
     """Slices of an Arrow batch of about ``most_bytes`` of text (one row at least)."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    start = 0
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    return (part for part, _ in slices(batch, sizes, most_bytes))
+
+
+def slices(batch, sizes: np.ndarray, most: int):
+    """Slices of a batch, with the sizes of their rows, that add up to ``most`` (one row at least)."""
+    sums, start = np.cumsum(sizes), 0
     while start < batch.num_rows:
-        before = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, before + most_bytes, "right")))
-        yield batch.slice(start, end - start)
+        before = sums[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sums, before + most, "right")))
+        yield batch.slice(start, end - start), sizes[start:end]
         start = end
 
 

@@ -12,10 +12,11 @@ weighted Jaccard similarity.
 Signatures are joined on ``BANDS`` bands of ``ROWS`` coordinates; a pair of similarity 0.8
 shares no band with a probability of 3e-6. Texts of the same words are one node. In a
 bucket of up to ``SMALL`` nodes every pair is a candidate. In a larger one all nodes are
-compared with one centre, the node with the most bucket neighbours; then, as long as a node
-of the bucket lies outside the bucket's main class, such nodes become centres in turn and
-are compared with every node of another class. So each two nodes of a bucket are in the end
-compared or known to be in one class, without ever listing the pairs of a large bucket.
+compared with one centre, the node with the most bucket neighbours. Nodes that large
+buckets tie together are a family; those outside its main class are then compared with all
+of its nodes in other classes, in blocks of ``BLOCK`` by ``BLOCK`` nodes that report at most
+one link a node and class. So each two nodes of a bucket are in the end compared or known to
+be in one class, and no pairs of a large bucket are listed.
 Every candidate pair is decided by the exact weighted Jaccard similarity of its shingles;
 classes are the connected components of the pairs of ``SIMILARITY`` or more.
 
@@ -33,18 +34,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import chunks, documents, texts_of, written
 from .graph import components
 from .wordhash import Words, mix
+from .wordpool import ragged
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
 SMALL = 8
-CENTRES = 4
+BLOCK = 256
+BROADCAST_IDS = 2_000_000
 
 
 def weighted_elements(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +128,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """rid, doc_id, node and band keys (none for a text without words) of each row."""
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, "text", 2_000_000):
+            for part in chunks(batch, "text"):
                 words = Words(texts_of(part, "text"))
                 elements, offsets = weighted_elements(words)
                 keys = band_keys(dart_signatures(elements, offsets))
@@ -144,7 +146,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """node and its sorted element hashes (32 bits each), packed in one binary."""
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, "text", 2_000_000):
+            for part in chunks(batch, "text"):
                 words = Words(texts_of(part, "text"))
                 elements, offsets = weighted_elements(words)
                 short = (elements >> np.uint64(32)).astype(np.uint32)
@@ -173,6 +175,55 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def shared_counts(asked: list[np.ndarray], held: list[np.ndarray]):
+    """For each asked set, the sizes of its intersections with the held sets."""
+    owner = np.repeat(np.arange(len(held)), [len(x) for x in held])
+    flat = np.concatenate(held) if held else np.zeros(0, np.uint32)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    for x in asked:
+        left = np.searchsorted(flat, x, "left")
+        hits = ragged(left, np.searchsorted(flat, x, "right") - left)
+        yield np.bincount(owner[hits], minlength=len(held))
+
+
+def links_of_the_rest(star: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): similar nodes of one family, one of them outside the family's main class."""
+    family = components(star).withColumnRenamed("label", "family")
+    rows = written(family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "families")
+    sizes = rows.groupBy("family", "label").count().groupBy("family").agg(
+        F.max(F.struct("count", "label"))["label"].alias("main"), F.sum("count").alias("size"), F.max("count").alias("in_main"))
+    parts = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = sizes.filter(F.col("size") > F.col("in_main")).select(
+        "family", "main", parts(F.col("size")).alias("blocks"), parts(F.col("size") - F.col("in_main")).alias("chunks"))
+    rows = rows.join(sizes, "family").join(sets, "node")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ["family", "block", "chunk", "node", "label", "elements"]
+    held = rows.withColumn("block", dealt("blocks")).withColumn("chunk", numbers("chunks")).select(*columns)
+    asked = (rows.filter("label <> main").withColumn("chunk", dealt("chunks")).withColumn("block", numbers("blocks"))
+             .select(*columns))
+    asked = asked.toDF(*columns)  # new attributes: both sides come from one table
+
+    def run(key, left, right):
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            names, classes, sets = (left.column(c).to_pylist() for c in ("node", "label", "elements"))
+            held = [np.frombuffer(x, np.uint32) for x in sets]
+            sizes = np.array([len(x) for x in held])
+            asks = [np.frombuffer(x, np.uint32) for x in right.column("elements").to_pylist()]
+            own = zip(right.column("node").to_pylist(), right.column("label").to_pylist(), asks)
+            for (node, label, x), shared in zip(own, shared_counts(asks, held)):
+                near = np.flatnonzero(shared / np.maximum(sizes + len(x) - shared, 1) >= SIMILARITY)
+                found = {classes[i]: names[i] for i in near if classes[i] != label}
+                a += [node] * len(found)
+                b += found.values()
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return (held.groupBy("family", "block", "chunk").cogroup(asked.groupBy("family", "block", "chunk"))
+            .applyInArrow(run, "a binary, b binary"))
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and class_size of every row of ``docs`` (doc_id, text)."""
     out = classes_of_rows(docs)
@@ -211,28 +262,17 @@ def classes_of_rows(docs: DataFrame) -> DataFrame:
 
     # shingles are made again for the nodes that can need them: those that share a bucket
     wanted = members.select("node").distinct().join(first, "node").select("rid")
+    wanted = written(wanted, "wanted")
+    if wanted.count() <= BROADCAST_IDS:  # 16 MB of ids at most; beyond it both sides are shuffled
+        wanted = F.broadcast(wanted)
     sets = shingle_sets(row_key(docs).join(wanted, "rid", "left_semi").select("text"))
     sets = written(sets.groupBy("node").agg(F.any_value("elements").alias("elements")), "shingles")
     decided = written(similarities(pairs, sets), "similarities")
-    while True:
-        labels = components(decided.filter(F.col("similarity") >= SIMILARITY))
-        if many.isEmpty():
-            break
-        labelled = many.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        main = (labelled.groupBy("key", "label").count().groupBy("key")
-                .agg(F.max(F.struct("count", "label"))["label"].alias("main")))
-        outside = (labelled.join(main, "key").filter("label <> main")
-                   .join(centres, ["key", "node"], "left_anti").select("key", "node"))
-        turn = W.partitionBy("key").orderBy("node")
-        new = written(outside.withColumn("n", F.row_number().over(turn)).filter(F.col("n") <= CENTRES)
-                      .select("key", "node"), "centres")
-        if new.isEmpty():
-            break
-        one = new.join(labels, "node", "left").select("key", F.col("node").alias("x"), F.coalesce("label", "node").alias("lx"))
-        other = labelled.select("key", F.col("node").alias("y"), F.col("label").alias("ly"))
-        pairs = ordered(one.join(other, "key").filter("lx <> ly")).join(decided, ["a", "b"], "left_anti")
-        decided = written(decided.union(similarities(pairs, sets)), "similarities")
-        centres = centres.union(new)
+    links = decided.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
+    labels = components(links)
+    if not many.isEmpty():
+        links = written(links.union(links_of_the_rest(star.select(F.col("x").alias("a"), F.col("y").alias("b")), labels, sets)), "links")
+        labels = components(links)
 
     groups = first.join(labels, "node", "left").select("node", "rid", F.coalesce("label", "node").alias("label"))
     ids = groups.groupBy("label").agg(F.min("rid").alias("class_id"))
