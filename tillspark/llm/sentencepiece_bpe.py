@@ -27,12 +27,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, resident, texts_of, with_column
+from .common import chunks, documents, resident, slices, texts_of, with_column
 from .wordpool import WordPool, ragged
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}+[^{MARK}\n]*|\n+|[^{MARK}\n]+")
 NONE = np.iinfo(np.int32).max
+DECODED_AT_ONCE = 300_000
 
 
 def model_path() -> str:
@@ -228,10 +229,9 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | No
 
     def make(batch):
         model = resident(("sentencepiece", path), lambda: PieceModel(path))
-        for start in range(0, batch.num_rows, 500):
-            part = batch.slice(start, 500)
+        tokens = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part, lengths in slices(batch, tokens, DECODED_AT_ONCE):
             column = part.column(ids)
-            lengths = np.array([0 if v is None else v for v in pc.list_value_length(column).to_pylist()], np.int64)
             flat = column.flatten().to_numpy(zero_copy_only=False)
             texts = model.decode(flat, np.concatenate([[0], np.cumsum(lengths)]))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])

@@ -18,7 +18,7 @@ class WordPool(dict):
     Starts anew once it holds ``limit`` words, so its memory is bounded.
     """
 
-    def __init__(self, encode, limit: int = 300_000):
+    def __init__(self, encode, limit: int = 150_000):
         self.encode, self.limit = encode, limit
         self.empty()
 
