@@ -88,3 +88,16 @@ def test_null_ids_and_empty_table(spark):
     got = [tuple(r) for r in D.near_duplicate_classes(df).select("doc_id", "class_size").collect()]
     assert sorted(got, key=str) == [(5, 3), (5, 3), (None, 1), (None, 3)]
     assert D.near_duplicate_classes(df.limit(0)).collect() == []
+
+
+def test_one_doc_id_with_two_texts(spark):
+    word = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(3, word("a")), (5, word("a") + " end"), (5, word("b")), (5, word("c")), (7, word("c") + " end"), (9, word("d")),
+            (9, word("d").replace(" ", "  ")), (9, word("d"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((r.doc_id, r.text.split()[0]) for r in D.one_of_each_class(df).collect())
+    assert kept == [(3, "a0"), (5, "b0"), (5, "c0"), (9, "d0")]
+    got = D.near_duplicate_classes(df).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == [
+        (3, 3, 2), (5, 3, 2), (5, 5, 1), (5, 5, 2), (7, 5, 2), (9, 9, 3), (9, 9, 3), (9, 9, 3)]
+    assert len({(r.class_id, r.class_text_hash) for r in got}) == 4 and len({(r.doc_id, r.text_hash) for r in got}) == 7

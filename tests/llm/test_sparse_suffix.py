@@ -79,3 +79,16 @@ def test_nulls_repeated_rows_and_empty(spark):
     assert (span.doc_id, span.start_word, span.end_word, span.source_start_word) == (3, 0, 60, 0) and span.source_doc_id < 0
     alone = spark.createDataFrame([(3, text, 1, "x"), (3, text, 1, "x")], schema)
     assert S.repeated_spans(alone).collect() == [] and S.repeated_spans(df.limit(0)).collect() == []
+
+
+def test_one_doc_id_with_two_texts(spark):
+    words = lambda k, n=60: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(3, words("a")), (5, words("a") + " " + words("b")), (5, words("c", 150)), (5, words("d") + " x"), (5, words("d") + " y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = S.repeated_spans(df).collect()
+    assert sorted((r.doc_id, r.start_word, r.end_word, r.source_doc_id) for r in spans) == [(5, 0, 60, 3), (5, 0, 60, 5)]
+    out = sorted(r.text.strip() for r in S.without_spans(df, S.repeated_spans(df)).collect())
+    left = [t for t in out if t in ("x", "y")]
+    assert len(left) == 1
+    whole = words("d") + (" y" if left == ["x"] else " x")
+    assert out == sorted([words("a"), words("b"), words("c", 150), whole, *left])

@@ -21,9 +21,12 @@ Every candidate pair is decided by the exact weighted Jaccard similarity of its
 classes are the connected components of the pairs of ``SIMILARITY`` or more.
 
 Defined cases: null or blank texts have no words and form one class, as copies; a text of
-fewer than five words is one shingle; rows without doc_id get a class of their text; the
-class id is the least doc_id of the class (a negative hash of the text where all are null);
-repeated rows are each returned; further columns of the input do not matter.
+fewer than five words is one shingle; rows without doc_id get a class of their text; a row is
+named by doc_id and the hash of its text, so rows of one doc_id and different texts are
+documents of their own; a class is named by its first row (by doc_id, then text hash):
+``class_id`` is that row's doc_id, the least of the class (a negative hash of the text where
+all are null), and ``class_text_hash`` its text hash; repeated rows are each returned;
+further columns of the input do not matter.
 """
 
 from __future__ import annotations
@@ -116,16 +119,21 @@ def _nodes(words: Words) -> list[bytes]:
 
 
 def row_key(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``rid``: the doc_id, or a negative hash of the text where it is null."""
-    return docs.select("doc_id", "text", row_id().alias("rid"))
+    """doc_id, text and the row's key: ``rid`` (the doc_id, or a negative hash of the text where
+    it is null) and ``text_hash``."""
+    return docs.select("doc_id", "text", row_id().alias("rid"), text_hash().alias("text_hash"))
 
 
 def row_id() -> Column:
     return F.coalesce("doc_id", -1 - F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)))
 
 
+def text_hash() -> Column:
+    return F.xxhash64("text")
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """rid, doc_id, node and band keys (none for a text without words) of each row."""
+    """rid, text_hash, doc_id, node and band keys (none for a text without words) of each row."""
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -136,10 +144,10 @@ def signed(docs: DataFrame) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
                                                  pa.array(keys[counts > 0].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("doc_id"), pa.array(_nodes(words), pa.binary()), bands],
-                    ["rid", "doc_id", "node", "bands"])
+                    [*(part.column(c) for c in ("rid", "text_hash", "doc_id")), pa.array(_nodes(words), pa.binary()), bands],
+                    ["rid", "text_hash", "doc_id", "node", "bands"])
 
-    return row_key(docs).mapInArrow(run, "rid bigint, doc_id bigint, node binary, bands array<bigint>")
+    return row_key(docs).mapInArrow(run, "rid bigint, text_hash bigint, doc_id bigint, node binary, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -225,27 +233,30 @@ def links_of_the_rest(star: DataFrame, labels: DataFrame, sets: DataFrame) -> Da
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and class_size of every row of ``docs`` (doc_id, text)."""
+    """doc_id, text_hash, class_id, class_text_hash and class_size of every row of ``docs``
+    (doc_id, text)."""
     out = classes_of_rows(docs)
-    return (out.join(out.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class_id")
-            .select("doc_id", "class_id", "class_size"))
+    name = ["class_id", "class_text_hash"]
+    return (out.join(out.groupBy(*name).agg(F.count(F.lit(1)).alias("class_size")), name)
+            .select("doc_id", "text_hash", *name, "class_size"))
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose class has a row of smaller doc_id; of repeated rows one
+    """``docs`` with the first row (by doc_id, then text hash) of each class; of repeated rows one
     stays."""
     out = classes_of_rows(docs)
-    gone = out.filter("rid <> class_id").select("rid").distinct()
-    kept = docs.withColumn("_rid", row_id()).join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left_anti").drop("_rid")
-    if not out.groupBy("rid").count().filter("count > 1").isEmpty():
+    gone = out.filter("rid <> class_id or text_hash <> class_text_hash").select("rid", "text_hash").distinct()
+    kept = (docs.withColumns({"_rid": row_id(), "_text_hash": text_hash()})
+            .join(gone.toDF("_rid", "_text_hash"), ["_rid", "_text_hash"], "left_anti").drop("_rid", "_text_hash"))
+    if not out.groupBy("rid", "text_hash").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
 
 
 def classes_of_rows(docs: DataFrame) -> DataFrame:
-    """rid, doc_id and class_id of every row, written."""
+    """rid, text_hash, doc_id, class_id and class_text_hash of every row, written."""
     rows = written(signed(docs), "signatures")
-    first = written(rows.groupBy("node").agg(F.min("rid").alias("rid")), "nodes")
+    first = written(rows.groupBy("node").agg(F.min(F.struct("rid", "text_hash")).alias("first")), "nodes")
     keyed = rows.select("node", F.explode("bands").alias("key")).distinct()
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(keyed.join(sizes, "key"), "members")
@@ -261,11 +272,13 @@ def classes_of_rows(docs: DataFrame) -> DataFrame:
     pairs = written(ordered(pairs.select("x", "y").union(star.select("x", "y"))), "pairs")
 
     # shingles are made again for the nodes that can need them: those that share a bucket
-    wanted = members.select("node").distinct().join(first, "node").select("rid")
+    # (one hash of the row's key: a chance equal row is made again for nothing)
+    key = F.xxhash64("rid", "text_hash").alias("wanted")
+    wanted = members.select("node").distinct().join(first, "node").select("first.*").select(key)
     wanted = written(wanted, "wanted")
     if wanted.count() <= BROADCAST_IDS:  # 16 MB of ids at most; beyond it both sides are shuffled
         wanted = F.broadcast(wanted)
-    sets = shingle_sets(row_key(docs).join(wanted, "rid", "left_semi").select("text"))
+    sets = shingle_sets(row_key(docs).select("text", key).join(wanted, "wanted", "left_semi").select("text"))
     sets = written(sets.groupBy("node").agg(F.any_value("elements").alias("elements")), "shingles")
     decided = written(similarities(pairs, sets), "similarities")
     links = decided.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
@@ -274,10 +287,12 @@ def classes_of_rows(docs: DataFrame) -> DataFrame:
         links = written(links.union(links_of_the_rest(star.select(F.col("x").alias("a"), F.col("y").alias("b")), labels, sets)), "links")
         labels = components(links)
 
-    groups = first.join(labels, "node", "left").select("node", "rid", F.coalesce("label", "node").alias("label"))
-    ids = groups.groupBy("label").agg(F.min("rid").alias("class_id"))
-    nodes = groups.join(ids, "label").select("node", "class_id")
-    return written(rows.select("rid", "doc_id", "node").join(nodes, "node").select("rid", "doc_id", "class_id"), "classes")
+    groups = first.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
+    ids = groups.groupBy("label").agg(F.min("first").alias("class"))
+    nodes = groups.join(ids, "label").select(
+        "node", F.col("class.rid").alias("class_id"), F.col("class.text_hash").alias("class_text_hash"))
+    named = rows.select("rid", "text_hash", "doc_id", "node").join(nodes, "node").drop("node")
+    return written(named, "classes")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
