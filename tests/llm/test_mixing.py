@@ -84,3 +84,25 @@ def test_odd_rows_and_empty_table(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.copy) for r in M.mix(blank).collect()) == [(0, 0), (1, 0), (1, 0)]
     with pytest.raises(TypeError):
         M.mix(docs, nonsense=1)
+
+
+@pytest.mark.parametrize("budget", [None, 30_000.0])
+def test_each_block_has_the_weights(spark, tmp_path, monkeypatch, budget):
+    monkeypatch.setattr(M, "ROWS_PER_BLOCK", 500)
+    sources = ["hot"] * 8_000 + ["mid"] * 300 + ["tiny"] * 12
+    docs = table(spark, [f"w{i} " + "w " * (i % 7 + 5) for i in range(len(sources))], tmp_path, source=sources)
+    got = M.token_counts(M.mix(docs, budget=budget)).select("doc_id", "source", "copy", "block", "place", "n_tokens").collect()
+    blocks, total = defaultdict(Counter), Counter()
+    for r in got:
+        blocks[r.block][r.source] += r.n_tokens
+        total[r.source] += r.n_tokens
+    assert len(blocks) > 5 and sorted(blocks) == list(range(len(blocks)))
+    every = sum(total.values())
+    for b in blocks.values():
+        assert abs(sum(b.values()) - every / len(blocks)) < 0.25 * every / len(blocks)
+        assert all(abs(b[s] / sum(b.values()) - total[s] / every) < 0.08 for s in total)
+    order = [(r.doc_id, r.copy) for r in sorted(got, key=lambda r: (r.block, r.place))]
+    last = {}
+    for doc, copy in order:
+        assert copy == last.get(doc, -1) + 1 or (budget and doc not in last)
+        last[doc] = copy

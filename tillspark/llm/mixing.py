@@ -10,12 +10,16 @@
 3. The token budget goes to the sources by weight. By default it is the least budget that
    passes over every source at least once, so nothing is dropped: sources of small share
    are repeated. A given ``budget`` may cut sources short.
-4. A source's documents are dealt to blocks by a hash, anew for each pass. Whole passes take
-   every block; the last pass takes blocks in order until the source's tokens are spent,
-   and in the block where they run out, documents in hash order. Only block sums are
-   accumulated, then the rows of one block a source, over a narrow table without texts; what
-   remains is one row a source that says where its last pass ends, and documents are taken
-   by it in one pass over the full table, without a shuffle of texts.
+4. Each pass over a source takes its documents in the order of a hash, drawn anew for the pass;
+   the last pass ends where the source's tokens are spent. Only sums of slots (parts of equal
+   width of the hash's range) are accumulated, then the rows of one slot a source, over a narrow
+   table without texts; what remains is one row a source that says where its last pass ends.
+5. One number of blocks for all sources follows from the budget: about ``ROWS_PER_BLOCK``
+   taken rows each (more where that were over ``MAX_BLOCKS`` blocks). All passes of a source,
+   one after the other, are stretched over the whole mixed order, so each block holds about
+   the same part of what is taken of every source, which are the target weights; a source of
+   which fewer documents are taken than there are blocks is in some blocks only. Documents
+   are placed in one pass over the full table, without a shuffle of texts.
 
 Defined cases: a null source is a source of its own; null or blank texts have no tokens and
 are taken once in each whole pass; without any tokens every document is taken once; repeated
@@ -39,6 +43,7 @@ GRID = 64
 PASSES = 4
 ROWS_PER_BLOCK = 500
 MAX_BLOCKS = 100_000
+UNIT = 2.0 ** 52
 ADDED = ["copy", "block", "place"]
 
 
@@ -98,49 +103,64 @@ def source_weights(sources: DataFrame, exponent: float, budget: float | None = N
 
 
 def dealt(rows: DataFrame, copy) -> DataFrame:
-    """Adds the block (of ``_blocks``) and place of the row ``_row`` in the given pass."""
-    deal = F.xxhash64(copy, "_row")
-    return rows.withColumns({"block": F.pmod(deal, F.col("_blocks")).cast("int"), "place": F.xxhash64(deal)})
+    """Adds ``_deal`` in [0, UNIT), the order of the row ``_row`` in the given pass."""
+    return rows.withColumn("_deal", F.shiftrightunsigned(F.xxhash64(copy, "_row"), 12))
 
 
 def last_pass_ends(counted: DataFrame, weights: DataFrame) -> DataFrame:
-    """One row a source: _source, _blocks, _whole passes, and where the last pass ends (the
-    block it ends in and the greatest place taken there; null without a last pass)."""
-    blocks = F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("docs") / ROWS_PER_BLOCK))).cast("int")
-    plan = weights.select(F.col("source").alias("_source"), F.floor("passes").cast("int").alias("_whole"), blocks.alias("_blocks"),
+    """One row a source: _source, _passes, _whole passes, and where the last pass ends: the
+    greatest ``_deal`` taken (_last) and a bound of those not taken (_until); null without one."""
+    slots = F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("docs") / ROWS_PER_BLOCK))).cast("int")
+    plan = weights.select(F.col("source").alias("_source"), F.col("passes").alias("_passes"),
+                          F.floor("passes").cast("int").alias("_whole"), slots.alias("_slots"),
                           (F.col("tokens") * (F.col("passes") - F.floor("passes"))).alias("_spend"))
     rows = dealt(counted.join(plan, F.col("source").eqNullSafe(F.col("_source"))).filter("_spend > 0"), F.col("_whole"))
-    sums = rows.groupBy("_source", "block").agg(F.sum("n_tokens").alias("t"), F.first("_spend").alias("_spend"))
-    before = F.sum("t").over(W.partitionBy("_source").orderBy("block")) - F.col("t")
+    rows = rows.withColumn("_slot", F.floor(F.col("_deal") / UNIT * F.col("_slots")).cast("int"))
+    sums = rows.groupBy("_source", "_slot").agg(F.sum("n_tokens").alias("t"), F.first("_spend").alias("_spend"))
+    before = F.sum("t").over(W.partitionBy("_source").orderBy("_slot")) - F.col("t")
     end = (sums.withColumn("_before", before).filter(F.col("_before") < F.col("_spend"))
-           .groupBy("_source").agg(F.max(F.struct("block", "_before")).alias("e"), F.first("_spend").alias("_left"))
-           .select(F.col("_source").alias("_s"), F.col("e.block").alias("_end"), (F.col("_left") - F.col("e._before")).alias("_left")))
-    inside = rows.join(end, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_end")))
-    places = inside.groupBy("_s", "_end", "place").agg(F.sum("n_tokens").alias("t"), F.first("_left").alias("_left"))
-    upto = F.sum("t").over(W.partitionBy("_s").orderBy("place")) - F.col("t")
-    last = (places.withColumn("_upto", upto).filter(F.col("_upto") < F.col("_left"))
-            .groupBy("_s", "_end").agg(F.max("place").alias("_place")))
-    return plan.join(last, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s", "_spend")
+           .groupBy("_source").agg(F.max(F.struct("_slot", "_before")).alias("e"), F.first("_spend").alias("_left"))
+           .select(F.col("_source").alias("_s"), F.col("e._slot").alias("_end"), (F.col("_left") - F.col("e._before")).alias("_left")))
+    inside = rows.join(end, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_slot") == F.col("_end")))
+    places = inside.groupBy("_s", "_deal").agg(F.sum("n_tokens").alias("t"), F.first("_left").alias("_left"),
+                                               F.first((F.col("_end") + 1) / F.col("_slots") * UNIT).alias("_bound"))
+    upto = F.sum("t").over(W.partitionBy("_s").orderBy("_deal")) - F.col("t")
+    taken = F.col("_upto") < F.col("_left")
+    last = (places.withColumn("_upto", upto).groupBy("_s").agg(
+        F.max(F.when(taken, F.col("_deal"))).alias("_last"),
+        F.coalesce(F.min(F.when(~taken, F.col("_deal"))).cast("double"), F.first("_bound")).alias("_until")))
+    return (plan.join(last, F.col("_source").eqNullSafe(F.col("_s")), "left")
+            .select("_source", "_passes", "_whole", "_last", "_until"))
+
+
+def block_count(weights: DataFrame) -> int:
+    """The number of blocks, common to all sources, for the rows that the budget takes."""
+    rows = weights.agg(F.sum(F.col("docs") * F.col("passes"))).first()[0] or 0
+    return max(1, min(MAX_BLOCKS, math.ceil(rows / ROWS_PER_BLOCK)))
 
 
 def mix(docs: DataFrame, mode: str = "entropy", budget: float | None = None, seed: int = 1, **target) -> DataFrame:
     """One row for each time a document is taken: ``docs`` with copy (from 0), block and place.
 
-    Ordering by copy, block and place gives the mixed order: a block holds documents of all
-    sources, in a hash order.
+    Ordering by block and place gives the mixed order: each block holds documents of all
+    sources by their weights, in a hash order, and a source's copies follow each other.
     """
     docs = docs.drop(*ADDED)
     keyed = docs.withColumn("_row", F.xxhash64(F.lit(seed), "doc_id", "text"))
     counted = written(token_counts(keyed).select("source", "_row", "n_tokens"), "tokens")
     sources = source_table(counted)
-    weights = source_weights(sources, find_exponent(sources, mode, **target), budget)
-    ends = written(last_pass_ends(counted, written(weights, "weights")), "ends")  # one row a source
+    weights = written(source_weights(sources, find_exponent(sources, mode, **target), budget), "weights")
+    blocks = block_count(weights)
+    ends = written(last_pass_ends(counted, weights), "ends")  # one row a source
     rows = keyed.join(ends, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_whole"))))
-    rows = dealt(rows, F.col("copy"))
-    taken = ((F.col("copy") < F.col("_whole")) | (F.col("block") < F.col("_end"))
-             | ((F.col("block") == F.col("_end")) & (F.col("place") <= F.col("_place"))))
-    return rows.filter(taken).select(*docs.columns, *ADDED)
+    rows = dealt(rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_whole")))), F.col("copy"))
+    whole = F.col("copy") < F.col("_whole")
+    rows = rows.filter(whole | (F.col("_deal") <= F.col("_last")))
+    # the taken part of the last pass is stretched over its share of the order
+    part = F.when(whole, F.col("_deal") / UNIT).otherwise(F.col("_deal") / F.col("_until") * (F.col("_passes") - F.col("_whole")))
+    rows = rows.withColumn("_at", (F.col("copy") + part) / F.col("_passes"))
+    within = lambda n: F.least(F.floor(F.col("_at") * n), F.lit(int(n) - 1))
+    return rows.withColumns({"block": within(blocks).cast("int"), "place": within(UNIT)}).select(*docs.columns, *ADDED)
 
 
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
