@@ -54,3 +54,11 @@ def test_parts_of_a_text_have_its_ids():
             assert encode(TF.split_text(text))[0].tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
     text = "".join(map(chr, range(1, 0x250)))
     assert encode(TF.split_text(text))[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_each_latin_code_point_inside_a_word():
+    tok = TF.load_tokenizer(TF.tokenizer_path())
+    encode = TF.word_encoder(tok)
+    texts = [f"ab{chr(c)}cd {chr(c)}x 1{chr(c)}" for c in [*range(1, 0x250), 0x212A, 0x212B, 0x1E9E]]
+    for text in texts + ["President Əliyev said", "Əli Bakı", "ƁAWO"]:
+        assert encode(TF.split_text(text))[0].tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)

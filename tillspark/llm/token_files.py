@@ -64,8 +64,9 @@ def load_tokenizer(path: str):
 
 def split_text(text: str) -> list[str]:
     """Parts of a text whose ids, one after the other, are the ids of the text."""
-    if (text.isascii() or not (BEYOND.search(text) or "İ" in text)) and "<|" not in text:
-        return PIECES.findall(text.lower())
+    lowered = text.lower()  # some capitals below U+0250 have their small letter beyond it
+    if (lowered.isascii() or not BEYOND.search(lowered)) and "<|" not in text:
+        return PIECES.findall(lowered)
     return WORDS.findall(text)
 
 
