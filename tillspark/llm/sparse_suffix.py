@@ -1,4 +1,4 @@
-"""Repeated passages by a sparse suffix array over words.
+"""Repeated passages by hashed word windows at sparse places (no suffix order is built).
 
 A passage counts as repeated where ``LENGTH`` consecutive words stand in the same order at
 two places, in one text or in two. Suffixes are kept only at minimiser positions: of each
