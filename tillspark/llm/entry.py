@@ -5,7 +5,7 @@ from importlib import import_module
 import corpus_pipeline
 
 MODULES = ["winnowing", "sentencepiece_bpe", "token_files", "dart_minhash", "sparse_suffix", "language_id", "quality", "mixing", "extendible_sharding", "curve_search",
-           "merkle", "packing"]
+           "merkle", "collocations", "packing"]
 
 
 def queries() -> dict:
