@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import ODD, table
 
@@ -90,7 +91,7 @@ def test_parts_of_a_text_have_its_ids(tokenizer):
     pools = [P.PartPool(tokenizer, P.ranks_path()), P.PartPool(tokenizer, None, limit=50)]
 
     def same(text):
-        return all(P.ids_of(p, [text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids for p in pools)
+        return all(P.ids_of(p, pa.array([None, text, "a b"]))[1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids for p in pools)
     for c in [*range(1, 0x250), *range(0x1680, 0x1690), *range(0x2000, 0x2070), 0x3000, 0xFEFF, 0x1F600]:
         c = chr(c)
         assert same(f"ab{c}cd {c} x{c}{c}y {c}{c} {c}' {c}1 '{c}s"), repr(c)

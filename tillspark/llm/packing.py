@@ -28,10 +28,11 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +45,15 @@ from .wordpool import ragged
 LENGTH = 1_024
 END_ID = 0
 MAX_OPEN = 4_096
-LONG, SLICE = 1_000_000, 100_000
-POOL_PARTS, POOL_CHARACTERS = 400_000, 8_000_000
+SLICE = 1_000_000
+CHUNK_BYTES = 4_000_000
+POOL_PARTS, POOL_CHARACTERS = 1_000_000, 16_000_000
 ROWS_OUT = 20_000
 # The model cuts a text at white space: a run of other characters takes one blank before it along,
 # and a run of white space leaves its last character to what follows. (White space of Unicode.)
-BLANK = "\t-\r \x85\xa0  -     　"
+WIDE_BLANKS = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = f"\t-\r {WIDE_BLANKS}"
+ASCII_BLANKS = np.isin(np.arange(256), [*range(9, 14), 32])
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed: the model's own rule
 OTHER = re.compile(f"[^\x21-\x84\x86-\x9f\xa1-\u024f ]|^[{BLANK}]+$")
 PARTS = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
@@ -117,6 +121,7 @@ class PartPool(dict):
         self.limit, self.most, self.encode = limit, most, part_encoder(tokenizer, ranks)
         special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(map(re.escape, special)) or '(?!)'})")
+        self.odd = "|".join([f"[{WIDE_BLANKS}]", *map(re.escape, special)])
         self.empty()
 
     def empty(self) -> None:
@@ -131,38 +136,83 @@ class PartPool(dict):
         self.characters += len(part)
         return place
 
-    def split(self, text: str):
-        """Parts of a text whose ids, one after the other, are its ids; special tokens stand alone."""
-        if not self.special.search(text):
-            return PARTS.findall(text) if len(text) <= LONG else (m.group() for m in PARTS.finditer(text))
-        return (p for i, s in enumerate(self.special.split(text)) for p in ([s] if i % 2 else self.split(s)))
-
-    def texts(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the texts (lists of parts) and the offset of each text (one more)."""
-        if len(self) > self.limit or self.characters > self.most:
-            self.empty()
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        places = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
+    def places(self, parts) -> np.ndarray:
+        """Where the ids of each part stand; parts not met before are encoded."""
+        places = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
         if self.fresh:
             flat, lengths = self.encode(self.fresh)
             self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
             self.ids, self.lengths = np.append(self.ids, flat), np.append(self.lengths, lengths)
             self.fresh = []
+        return places
+
+    def gathered(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their number for each of the parts."""
+        if len(self) > self.limit or self.characters > self.most:
+            self.empty()
+        coded = parts.dictionary_encode()
+        places = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         lengths = self.lengths[places]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return self.ids[ragged(self.starts[places], lengths)], ends[np.concatenate([[0], np.cumsum(counts)])]
+        return self.ids[ragged(self.starts[places], lengths)], lengths
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of texts and the offset of each text (one more)."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        if not len(odd):
+            return self.plain(texts)
+        out, at = [], 0
+        for i in [*odd.tolist(), len(texts)]:
+            if at < i:
+                flat, offsets = self.plain(texts[at:i])
+                out.append((flat, np.diff(offsets)))
+            if i < len(texts):
+                parts, flat = iter(self.split(texts[i].as_py())), []
+                while some := list(islice(parts, SLICE)):
+                    flat.append(self.gathered(pa.array(some, pa.string()))[0])
+                out.append((np.concatenate(flat), [sum(map(len, flat))]))
+            at = i + 1
+        return np.concatenate([f for f, _ in out]), np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in out]))])
+
+    def split(self, text: str):
+        """Parts of a text whose ids, one after the other, are its ids; special tokens stand alone."""
+        for i, s in enumerate(self.special.split(text)):
+            if i % 2:
+                yield s
+            else:
+                yield from (m.group() for m in PARTS.finditer(s))
+
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without special tokens whose white space is ASCII, cut as bytes."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = texts.buffers()[2]
+        data = (np.frombuffer(raw, np.uint8) if raw else np.empty(0, np.uint8))[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        first = np.zeros(len(data) + 1, bool)
+        first[offsets] = True
+        blank = ASCII_BLANKS[data]
+        after_blank, before_word = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        after_blank[1:], before_word[:-1] = blank[:-1], ~blank[1:] & ~first[1:len(data)]
+        after_other = after_blank & (np.append(np.uint8(0), data[:-1]) != 0x20)[:len(data)]  # a line feed or the like
+        bounds = np.flatnonzero(first[:len(data)] | np.where(blank, ~after_blank | before_word, after_other))
+        ends, buffer = np.append(bounds[1:], len(data)).astype(np.int32), pa.py_buffer(data)
+        flat, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for a in range(0, len(bounds), SLICE):
+            cut = np.append(bounds[a:a + 1], ends[a:a + SLICE]).astype(np.int32)
+            ids, n = self.gathered(pa.StringArray.from_buffers(len(cut) - 1, pa.py_buffer(cut), buffer))
+            flat.append(ids)
+            lengths.append(n)
+        sums = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+        return np.concatenate(flat), sums[np.searchsorted(bounds, offsets)]
 
 
 def part_pool(path: str, ranks: str | None) -> PartPool:
     return resident(("part pool", path, ranks), lambda: PartPool(load_tokenizer(path), ranks))
 
 
-def ids_of(pool: PartPool, texts: list[str | None]) -> list[np.ndarray]:
+def ids_of(pool: PartPool, texts: pa.Array) -> list[np.ndarray]:
     """The ids of each text, without an end id."""
-    if len(texts) == 1 and len(texts[0] or "") > LONG:
-        parts = iter(pool.split(texts[0]))
-        return [np.concatenate([pool.texts([some])[0] for some in iter(lambda: list(islice(parts, SLICE)), [])])]
-    flat, offsets = pool.texts([list(pool.split(t)) if t else [] for t in texts])
+    flat, offsets = pool.texts(texts)
     return [flat[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
@@ -290,9 +340,8 @@ def pack(docs: DataFrame, path: str | None = None, ranks: str | None = None, len
         pool, out = part_pool(path, ranks), Rows(TaskContext.get().partitionId())
         levels = Levels(length, out, most_open)
         for batch in batches:
-            for part in chunks(batch, "text"):
-                texts = part.column("text").to_pylist()
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of(pool, texts)):
+            for part in chunks(batch, "text", CHUNK_BYTES):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of(pool, part.column("text"))):
                     ids = np.append(ids, np.int32(end_id))
                     levels.add((doc_id, len(ids)), ids)
                 if len(out.rows) >= ROWS_OUT:
