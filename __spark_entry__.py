@@ -18,7 +18,10 @@ from tillspark import schemas
 from tillspark.operators import cleaning as C
 from tillspark.operators import warehouse as WH
 from tillspark.operators.features import add_features
+from tillspark.operators.lookup import fact_by_lookup
 from tillspark.operators.ranking import scalable_ntile
+from tillspark.operators.store import Store
+from tillspark.plans import kept as K
 from tillspark.plans import forecasting as FC
 from tillspark.plans import reports as R
 from tillspark.sources import files
@@ -143,6 +146,14 @@ def _fact(spark, sf):
     return _dbl(sales_warehouse(spark, sf).fact)
 
 
+def _fact_by_lookup(spark, sf):
+    """The fact with keys looked up skew-proof from an existing customer dimension, without
+    the customers of every fourth id: their lines fall to the guest, as do lines without one."""
+    w = sales_warehouse(spark, sf)
+    some = w.dim_customer.filter(F.col("customer_id") % 4 != 0)
+    return _dbl(fact_by_lookup(w.sales, w.dim_product, w.dim_country, some))
+
+
 def _load_validation(spark, sf):
     w = sales_warehouse(spark, sf)
     w.inventory_risk = WH.inventory_risk(w, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST)
@@ -170,6 +181,35 @@ def _stored(spark, sf) -> WH.Warehouse:
     return WH.read_warehouse(spark, path)
 
 
+# The grown warehouse: two loads that share half a year of lines.
+FIRST_BEFORE, SECOND_FROM = "1995-07-01", "1995-01-01"
+_STORES: dict = {}
+
+
+def _store(spark, sf) -> Store:
+    """Built once per session and table folder from two overlapping loads."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        store, regions = Store(spark, shared_path(spark, "store")), TD.country_regions(spark, sf)
+        lines = add_features(TD.sales(spark, sf))
+        store.load(lines.filter(F.col("InvoiceDate") < F.lit(FIRST_BEFORE).cast("timestamp_ntz")), regions)
+        store.load(lines.filter(F.col("InvoiceDate") >= F.lit(SECOND_FROM).cast("timestamp_ntz")), regions)
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def _kept(spark, sf):
+    return _store(spark, sf).read()
+
+
+def _incremental_load(spark, sf):
+    """Fact lines of both loads with their ids and keys, looked up again by name."""
+    w = _kept(spark, sf)
+    return _dbl(w.fact.join(w.dim_product, "product_key").join(w.dim_country, "country_key").select(
+        "sale_id", "invoice_no", "date_key", "product_key", "stock_code", "customer_key", "country_key", "country_name",
+        "quantity", "unit_price", "total_revenue"))
+
+
 def _with(wh, fn, **kw):
     return lambda spark, sf: fn(wh(spark, sf), **kw)
 
@@ -195,6 +235,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_q07": _with(_stored, R.q07_rfm),
         "stored_q09": _with(_stored, R.q09_risk_trend, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
         "stored_inventory_risk": lambda s, sf: _stored(s, sf).inventory_risk,
+        # the warehouse grown by two loads, and reports from its roll-ups
+        "incremental_load": _incremental_load,
+        "incremental_products": lambda s, sf: _kept(s, sf).dim_product,
+        "incremental_customers": lambda s, sf: _kept(s, sf).dim_customer,
+        "distinct_by_bitmap": _with(_kept, K.distinct_counts),
+        "kept_q01": _with(_kept, K.q01_monthly_revenue),
+        "kept_q08": _with(_kept, K.q08_monthly_product),
+        "kept_q09": _with(_kept, K.q09_risk_trend, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
+        "kept_q10": _with(_kept, K.q10_kpis),
+        "kept_inventory_risk": _with(_kept, K.inventory_risk, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST),
         # warehouse tables and load checks
         "dim_date": lambda s, sf: events_warehouse(s, sf).dim_date,
         "dim_product": lambda s, sf: sales_warehouse(s, sf).dim_product,
@@ -205,6 +255,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sanity_monthly": _with(sales_warehouse, WH.sanity_monthly),
         "dq_constraints": _with(sales_warehouse, WH.dq_constraints),
         "fk_orphans": _fk_orphans,
+        "fact_by_lookup": _fact_by_lookup,
         "insert_ignore": _insert_ignore,
         "upsert_dim": _upsert,
         "distinct_on": _distinct_on,
@@ -240,8 +291,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from sqloracle.reports import SQL
+    from sqloracle.store import SQL as STORE
     from sqloracle.timeseries import SQL as TS
-    out = SQL | TS
+    out = SQL | TS | STORE
+    out |= {f"kept_{k}": SQL[q] for k, q in (("q01", "q01_monthly_revenue"), ("q08", "q08_monthly_product"), ("q09", "q09_risk_trend"),
+                                             ("q10", "q10_kpis"), ("inventory_risk", "inventory_risk"))}
     out |= {f"stored_{k}": SQL[q] for k, q in (("q02", "q02_actual_vs_forecast"), ("q07", "q07_rfm"), ("q09", "q09_risk_trend"),
                                                ("inventory_risk", "inventory_risk"))}
     if (llm := _llm()) is not None:

@@ -105,16 +105,20 @@ def dim_country(sales: DataFrame, regions: DataFrame | None = None) -> DataFrame
 
     Countries come from the data, so no sale is lost to an incomplete lookup list.
     """
+    numbered = global_row_number(country_regions(sales, regions), ["country_name"], out="country_key")
+    return numbered.select(F.col("country_key").cast("bigint"), "country_name", "region")
+
+
+def country_regions(sales: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """The countries of the lines with their regions, without keys."""
     countries = sales.select(F.col("Country").alias("country_name")) \
         .filter(F.col("country_name").isNotNull()).distinct()
     if regions is None:
         lookup = F.broadcast(region_lookup(sales.sparkSession))  # fixed 34 rows
     else:
         lookup = regions.select("country_name", "region").dropDuplicates(["country_name"])
-    with_region = countries.join(lookup, "country_name", "left").select(
+    return countries.join(lookup, "country_name", "left").select(
         "country_name", F.coalesce("region", F.lit(schemas.DEFAULT_REGION)).alias("region"))
-    numbered = global_row_number(with_region, ["country_name"], out="country_key")
-    return numbered.select(F.col("country_key").cast("bigint"), "country_name", "region")
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, countries: DataFrame,
@@ -313,9 +317,15 @@ def inventory_risk(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
     """
     monthly = (w.fact_dated().groupBy("product_key", "year_month")
                .agg(F.sum("quantity").alias("qty")))
+    return risk_of_monthly(monthly, w.dim_product, high, medium, forecast_qty)
+
+
+def risk_of_monthly(monthly: DataFrame, products: DataFrame, high: float = schemas.RISK_HIGH, medium: float = schemas.RISK_MEDIUM,
+                    forecast_qty: DataFrame | None = None) -> DataFrame:
+    """``inventory_risk`` from quantities per product and month (``product_key``, ``qty``)."""
     per_product = monthly.groupBy("product_key").agg(F.avg("qty").alias("_avg"))
     risk = (F.when(F.col("_avg") > high, "HIGH").when(F.col("_avg") > medium, "MEDIUM").otherwise("LOW"))
-    out = per_product.join(w.dim_product, "product_key").select(
+    out = per_product.join(products, "product_key").select(
         "stock_code", "description",
         F.round("_avg", 0).cast("int").alias("avg_monthly_qty"),
         risk.alias("risk_level"))

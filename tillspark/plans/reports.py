@@ -210,7 +210,12 @@ def q09_risk_trend(w: Warehouse, high: float = schemas.RISK_HIGH, medium: float
     ref = _as_of(w, as_of)
     recent_lines = _since(w, F.add_months(ref, -3))
     monthly = recent_lines.groupBy("product_key", "year_month").agg(F.sum("quantity").alias("qty"))
-    recent = (monthly.join(w.dim_product, "product_key").groupBy("stock_code")
+    return risk_trend(ir, monthly, w.dim_product)
+
+
+def risk_trend(ir: DataFrame, recent_monthly: DataFrame, products: DataFrame) -> DataFrame:
+    """Inventory risk ``ir`` with the trend of ``recent_monthly`` (``product_key``, ``qty`` per month)."""
+    recent = (recent_monthly.join(products, "product_key").groupBy("stock_code")
               .agg(F.round(F.avg("qty"), 0).alias("last_3m_avg_qty")))
     out = ir.join(recent, "stock_code", "left")
     trend = (F.when(F.col("last_3m_avg_qty") > F.col("avg_monthly_qty") * F.lit(schemas.TREND_RISING), "DEMAND RISING")
