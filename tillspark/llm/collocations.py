@@ -10,11 +10,11 @@ texts: a node's flow is what its edges carry away plus its piece-end correction,
 for two words and for one.
 
 Pruning, exact. A phrase below ``min_count`` can neither be a candidate nor part of one, so a
-record may end before the first word that would make it rare. A sketch (``2 ** BITS`` saturating
-counters over hashes of words and word pairs, summed over all tasks; a bit each in the end, so
-4 MB whatever the input) says which are surely rare. Collisions only keep more records; no
-count depends on them, as records are told apart by their words. On inputs that saturate the
-sketch nothing is pruned.
+record may end before the first word that would make it rare. Two sketches (``2 ** BITS``
+saturating counters over hashes of phrases, summed over all tasks; a bit each in the end, so 4 MB
+whatever the input) say which are surely rare: first words and pairs, then phrases of three and
+four words among what is left. Collisions only keep more records; no count depends on them, as
+records are told apart by their words. On inputs that saturate the sketches nothing is pruned.
 
 Scores. A candidate is a phrase of two words or more with ``a >= min_count`` occurrences; cut
 after its first k words into parts that occur l and r times it has the score
@@ -46,6 +46,7 @@ BITS, BLOCK = 25, 1 << 16
 CHUNK_BYTES, HASH_BYTES, BLOCK_WORDS = 4_000_000, 1_000_000, 500_000
 ANCHORS, ROUNDS, SALTS = 32, 6, 64
 WORD, BLANK, STOP = 0, 1, 2
+SALT = np.uint64(0xA5A5A5A5A5A5A5A5)
 KINDS = np.zeros(256, np.uint8)
 KINDS[[0x20, 0x09]] = BLANK
 KINDS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = STOP
@@ -93,27 +94,63 @@ class Pieces:
             a = b
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
-    def pairs(self) -> np.ndarray:
-        """Hash of each word and the next."""
-        return mix(self.keys * BASE + np.append(self.keys[1:], np.uint64(0)))
+    def blocks(self):
+        """Stretches of words: (begin, end, end with the words that its last phrases need)."""
+        for a in range(0, len(self.starts), BLOCK_WORDS):
+            b = min(a + BLOCK_WORDS, len(self.starts))
+            yield a, b, min(b + LONGEST - 1, len(self.starts))
+
+
+def ahead(x: np.ndarray, n: int) -> np.ndarray:
+    """Each position's value n positions on (zero beyond the end)."""
+    return np.append(x[n:], np.zeros(min(n, len(x)), x.dtype))
+
+
+class Grams:
+    """For each position of a stretch of words: hashes of the phrases of 1 to 4 words that start
+    there, and which of them may be frequent (``keep``; as far as ``flags`` say)."""
+
+    def __init__(self, p: Pieces, a: int, end: int, flags: list[np.ndarray], bits: int):
+        one, joined = p.keys[a:end], p.joined[a:end].copy()
+        joined[-1:] = False
+        two = mix(one * BASE + ahead(one, 1))
+        self.keys = [one, two, mix(two * BASE + ahead(one, 2)), mix((two ^ SALT) * BASE + ahead(two, 2))]
+        self.bits, self.keep = bits, [np.ones(len(one), bool)]
+        if flags:
+            self.keep = [self.maybe(flags[0], one)]
+        for n in range(1, LONGEST):
+            fits = self.keep[-1] & ahead(self.keep[-1], 1) & (joined if n == 1 else True)
+            if n // 2 < len(flags):  # one sketch for phrases of 1 and 2 words, one for 3 and 4
+                fits[fits] = self.maybe(flags[n // 2], self.keys[n][fits])
+            self.keep.append(fits)
+
+    def maybe(self, flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        at = bucket(keys, self.bits)
+        return (flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
 def bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def surely_rare_bits(texts: DataFrame, min_count: int, bits: int = BITS) -> bytes:
-    """A bit a bucket: 1 where the words and word pairs of the bucket may reach ``min_count``."""
+def frequent_bits(texts: DataFrame, sizes: list[int], min_count: int, bits: int = BITS, known=()) -> bytes:
+    """A bit a bucket: 1 where the phrases of ``sizes`` words in it may reach ``min_count``.
+
+    ``known`` are broadcast bits of shorter phrases; what they rule out is not counted.
+    """
     most = min(min_count, 255)
     block = min(BLOCK, 1 << bits)
 
     def count(batches):
-        counts = np.zeros(1 << bits, np.uint8)
+        counts, flags = np.zeros(1 << bits, np.uint8), [np.frombuffer(k.value, np.uint8) for k in known]
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_BYTES):
                 p = Pieces(part)
-                places, n = np.unique(np.concatenate([bucket(p.keys, bits), bucket(p.pairs()[p.joined], bits)]), return_counts=True)
-                counts[places] = np.minimum(counts[places] + n, most)
+                for a, b, end in p.blocks():
+                    g = Grams(p, a, end, flags, bits)
+                    found = [g.keys[n - 1][:b - a][g.keep[n - 1][:b - a]] for n in sizes]
+                    places, n = np.unique(bucket(np.concatenate(found), bits), return_counts=True)
+                    counts[places] = np.minimum(counts[places] + n, most)
         blocks, payloads = [], []
         for b in range((1 << bits) // block):
             some = counts[b * block:(b + 1) * block]
@@ -152,27 +189,12 @@ def surely_rare_bits(texts: DataFrame, min_count: int, bits: int = BITS) -> byte
     return bytes(out)
 
 
-def records_of(p: Pieces, a: int, b: int, flags: np.ndarray, bits: int):
+def records_of(p: Pieces, a: int, b: int, end: int, flags: list[np.ndarray], bits: int):
     """Distinct records of the positions [a, b): Arrow batches of RECORD."""
-    end = min(b + LONGEST - 1, len(p.starts))
-    starts, ends, keys, langs = (x[a:end] for x in (p.starts, p.ends, p.keys, p.langs))
-    joined = p.joined[a:end].copy()
-    joined[-1] = False
-
-    def maybe(keys):
-        at = bucket(keys, bits)
-        return (flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-
-    def ahead(x, n):
-        return np.append(x[n:], np.zeros(min(n, len(x)), x.dtype))
-    keep = maybe(keys)
-    pair = joined & keep & ahead(keep, 1)
-    pair[pair] = maybe(mix(keys * BASE + ahead(keys, 1))[pair])
-    size = keep.astype(np.int8)
-    run = keep
-    for n in range(1, LONGEST):
-        run = run & ahead(pair, n - 1)
-        size += run
+    starts, ends, langs = (x[a:end] for x in (p.starts, p.ends, p.langs))
+    g = Grams(p, a, end, flags, bits)
+    keep, pair, keys = g.keep[0], g.keep[1], g.keys[0]
+    size = sum(k.astype(np.int8) for k in g.keep)
     # Words by number, equal only where their bytes and languages are.
     ids = np.full(len(starts), -1, np.int64)
     ids[keep] = word_numbers(p.data, starts[keep], ends[keep], keys[keep], langs[keep])
@@ -219,16 +241,17 @@ def record_batch(p: Pieces, starts, ends, langs, at, n, counts):
 
 def records(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BITS) -> DataFrame:
     """(lang, size, phrase, n): edges (size 4) and piece-end corrections; size 0 counts all words."""
-    texts = docs.select("text", "lang")
-    flags = docs.sparkSession.sparkContext.broadcast(surely_rare_bits(texts, min_count, bits))
+    texts, context = docs.select("text", "lang"), docs.sparkSession.sparkContext
+    flags = [context.broadcast(frequent_bits(texts, [1, 2], min_count, bits))]
+    flags.append(context.broadcast(frequent_bits(texts, [3, 4], min_count, bits, flags[:1])))
 
     def run(batches):
-        bitmap = np.frombuffer(flags.value, np.uint8)
+        bitmaps = [np.frombuffer(f.value, np.uint8) for f in flags]
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_BYTES):
                 p = Pieces(part)
-                for a in range(0, len(p.starts), BLOCK_WORDS):
-                    yield from records_of(p, a, min(a + BLOCK_WORDS, len(p.starts)), bitmap, bits)
+                for a, b, end in p.blocks():
+                    yield from records_of(p, a, b, end, bitmaps, bits)
 
     return written(texts.mapInArrow(run, RECORD).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")), "records")
 
