@@ -19,6 +19,7 @@ from tillspark.operators import cleaning as C
 from tillspark.operators import warehouse as WH
 from tillspark.operators.features import add_features
 from tillspark.operators.lookup import fact_by_lookup
+from tillspark.operators.quantiles import exact_quantiles
 from tillspark.operators.ranking import scalable_ntile
 from tillspark.operators.store import Store
 from tillspark.plans import kept as K
@@ -224,6 +225,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q05_revenue_by_country": _with(sales_warehouse, R.q05_revenue_by_country),
         "q06_dow_hour_heatmap": _with(events_warehouse, R.q06_dow_hour_heatmap),
         "q07_rfm": _with(sales_warehouse, R.q07_rfm),
+        "rfm_by_cuts": _with(sales_warehouse, R.q07_rfm, recent_is_high=True),
+        "quantiles_by_part": lambda s, sf: exact_quantiles(_sales_cleaned(s, sf).select("StockCode", F.col("Quantity").cast("double").alias("v")),
+                                                           ["StockCode"], "v", [0.25, 0.5, 0.75]),
         "rfm_segment_counts": _with(sales_warehouse, R.rfm_segment_counts),
         "ntile_scalable": _ntile,
         "q08_monthly_product": _with(sales_warehouse, R.q08_monthly_product),

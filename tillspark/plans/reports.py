@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.functions.money import safe_ratio
-from tillspark.operators.quantiles import exact_quantiles
-from tillspark.operators.ranking import scalable_ntile
+from tillspark.operators.selection import ntiles_by_cuts, quantiles_by_counts
 from tillspark.operators.warehouse import Warehouse, inventory_risk
 from tillspark.session import written
 
@@ -145,23 +144,19 @@ def rfm_scores(w: Warehouse, k: int = schemas.RFM_TILES, recent_is_high: bool =
 
     ``recent_is_high=False`` reproduces the reference: NTILE over recency ascending, so
     the most recent customers score 1. ``True`` gives the usual RFM reading (most recent
-    = k). Ties are broken by customer key. NTILE is ``scalable_ntile`` over the key and one
-    measure each; the scores are joined by the key.
+    = k). Ties are broken by customer key. The scores are ``ntiles_by_cuts``: no range sort
+    and no join of scores, only counts over the written customers.
     """
     base = written(w.fact_dated().filter(F.col("customer_key") != schemas.GUEST_KEY)
             .groupBy("customer_key").agg(
                 F.max("full_date").alias("last_purchase_date"),
                 F.count_distinct("invoice_no").alias("frequency"),
                 F.sum("total_revenue").alias("monetary")), "customers")
-    ref = base.agg(F.max("last_purchase_date")).scalar()
+    ref = F.lit(base.agg(F.max("last_purchase_date")).first()[0]).cast("date")
     scored = base.withColumn("recency_days", F.datediff(ref, F.col("last_purchase_date")))
-    rec_order = F.col("recency_days").desc() if recent_is_high else F.col("recency_days").asc()
-    key = F.col("customer_key")
-    for column, order, out in (("recency_days", rec_order, "r_score"), ("frequency", F.col("frequency"), "f_score"),
-                               ("monetary", F.col("monetary"), "m_score")):
-        tiles = scalable_ntile(scored.select("customer_key", column), k, [order, key], out=out)
-        base = base.join(tiles.select("customer_key", out), "customer_key")
-    return base.withColumn("recency_days", F.datediff(ref, F.col("last_purchase_date")))
+    recency = F.col("recency_days")
+    return ntiles_by_cuts(scored, "customer_key", {"r_score": -recency if recent_is_high else recency, "f_score": F.col("frequency"),
+                                                   "m_score": F.col("monetary") * 100}, k)
 
 
 def q07_rfm(w: Warehouse, k: int = schemas.RFM_TILES, recent_is_high: bool = False) -> DataFrame:
@@ -344,12 +339,12 @@ def dataset_summary(cleaned: DataFrame) -> DataFrame:
 def boxplot_by_month(cleaned: DataFrame, value: str = "TotalRevenue") -> DataFrame:
     """Box-plot data per calendar month: quartiles, whiskers, flier count.
 
-    Quartiles are exact (linear interpolation) and come from ``exact_quantiles``, which
-    never puts a month in one task. Whiskers are the extreme values within 1.5 IQR,
+    Quartiles are exact (linear interpolation) and come from ``quantiles_by_counts``: counts
+    per bucket of cents, no shuffle of values. Whiskers are the extreme values within 1.5 IQR,
     found after a join with the (at most twelve-row) quartile table.
     """
     v = F.col(value).cast("double")
-    q = exact_quantiles(cleaned.select("Month", v.alias("_v")), ["Month"], "_v", [0.25, 0.5, 0.75])
+    q = quantiles_by_counts(cleaned, "Month", F.col(value) * 100, [0.25, 0.5, 0.75], 100.0)
     q = q.select("Month", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
