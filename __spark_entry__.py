@@ -8,6 +8,7 @@ same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillspark import schemas
+from tillspark.functions.text import strip_all
+from tillspark.operators import catalog as CT
 from tillspark.operators import cleaning as C
 from tillspark.operators import warehouse as WH
 from tillspark.operators.features import add_features
@@ -25,7 +28,7 @@ from tillspark.operators.store import Store
 from tillspark.plans import kept as K
 from tillspark.plans import forecasting as FC
 from tillspark.plans import reports as R
-from tillspark.sources import files
+from tillspark.sources import audit, files
 from tillspark.sources import testdata as TD
 from tillspark.session import shared_path
 
@@ -125,12 +128,88 @@ def _load_merge(spark, sf):
     for part in (TD.sales(spark, sf), TD.event_sales(spark, sf)):  # two raw files, as text
         paths.append(shared_path(spark, "raw-csv"))
         part.select(*schemas.RAW_COLUMNS).write.option("header", True).csv(paths[-1])
-    merged = files.load_raw(spark, paths)
+    merged = files.load_raw(spark, paths, on_bad="raise")
     return merged.groupBy("Country").agg(F.count(F.lit(1)).alias("lines"),
                                          F.sum("Quantity").cast("bigint").alias("quantity"),
                                          F.sum("Price").cast("double").alias("price_sum"))
 
 
+def _audit(spark, sf) -> audit.LoadAudit:
+    """The dirty lines as CSV, some fields with text that is not of their type, loaded with an audit."""
+    dirty, path = TD.dirty_sales(spark, sf), shared_path(spark, "dirty-csv")
+    ends = lambda digits: strip_all(F.col("Invoice")).endswith(digits)
+    text = dirty.select([F.col(c).cast("string") for c in schemas.RAW_COLUMNS]).withColumns({
+        "Quantity": F.when(ends("13"), F.concat("Quantity", F.lit(" pcs"))).otherwise(F.col("Quantity")),
+        "Price": F.when(ends("77"), F.lit("n/a")).otherwise(F.col("Price")),
+        "CustomerID": F.when(ends("99"), F.lit("12a")).otherwise(F.col("CustomerID"))})
+    text.write.option("header", True).csv(path)
+    return audit.audited_load(spark, path, shared_path(spark, "audited"))
+
+
+def _load_rejects(spark, sf):
+    return (_audit(spark, sf).rejects_by_rule().groupBy("rule", F.upper(strip_all(F.col("StockCode"))).alias("stock_code"))
+            .agg(F.count(F.lit(1)).alias("lines")))
+
+
+def _load_accepted(spark, sf):
+    return (_audit(spark, sf).accepted.groupBy(strip_all(F.col("Country")).alias("country"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("Quantity").cast("bigint").alias("quantity"), F.sum("Price").cast("double").alias("price_sum")))
+
+
+def _csv_by_name(spark, sf):
+    """Sales written as CSV with a header, columns reversed and one more, and read by name."""
+    path = shared_path(spark, "by-name")
+    files.write_table(TD.sales(spark, sf).select(F.lit("x").alias("more"), *schemas.RAW_COLUMNS[::-1]), path, fmt="csv")
+    back = files.read_csv(spark, path, schemas.RAW_SALES)
+    return back.groupBy("Country", F.to_date("InvoiceDate").alias("day")).agg(
+        F.count("Invoice").alias("lines"), F.sum("Quantity").cast("bigint").alias("quantity"), F.sum("Price").cast("double").alias("price_sum"),
+        F.max("CustomerID").alias("last_customer"), F.min("Description").alias("first_name"))
+
+
+def _append_parts(spark, sf):
+    """Three appends to one table, with files of at most 5,000 rows."""
+    path, lines = shared_path(spark, "appended"), TD.sales(spark, sf)
+    for part in range(3):
+        files.write_table(lines.filter(F.month("InvoiceDate") % 3 == part), path, mode="append", max_records_per_file=5_000)
+    return spark.read.parquet(path).groupBy("StockCode").agg(F.count(F.lit(1)).alias("lines"), F.sum("Quantity").cast("bigint").alias("quantity"))
+
+
+def _forecast_file(spark, sf):
+    """A forecast written as the file of the modelling step and loaded; a missing file adds nothing."""
+    path = shared_path(spark, "forecast-csv")
+    named = {v: k for k, v in schemas.FORECAST_COLUMN_NAMES.items()}
+    files.write_table(sales_warehouse(spark, sf).forecast_results.withColumnsRenamed(named), path, fmt="csv")
+    return _dbl(files.load_forecast(spark, path).unionByName(files.load_forecast(spark, path + "-missing")))
+
+
+def _catalog(spark) -> str:
+    name = f"till_{uuid.uuid4().hex}"
+    CT.create_tables(spark, name, shared_path(spark, name))
+    return name
+
+
+def _default_columns(spark, sf):
+    """Dimensions inserted without the columns that have a default."""
+    db, w = _catalog(spark), sales_warehouse(spark, sf)
+    CT.insert_rows(db, "dim_product", w.dim_product.select("product_key", "stock_code"))
+    CT.insert_rows(db, "dim_customer", w.dim_customer.select("customer_id", "customer_key"))
+    CT.insert_rows(db, "dim_country", w.dim_country.select("country_key", "country_name"))
+    parts = [spark.table(f"{db}.{t}").groupBy(F.col(c).cast("string").alias("value")).agg(
+        F.count(F.lit(1)).alias("row_count"), (F.count(stamp) if stamp else F.lit(0).cast("bigint")).alias("stamped"))
+        .select(F.lit(t).alias("table_name"), "value", "row_count", "stamped")
+        for t, c, stamp in (("dim_product", "description", "created_at"), ("dim_customer", "has_account", "created_at"), ("dim_country", "region", None))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _catalog_constraints(spark, sf):
+    """Violations of every constraint of the catalog tables after a load of the grown warehouse."""
+    db, w = _catalog(spark), _kept(spark, sf)
+    w.forecast_results = TD.seasonal_naive_forecast(w)
+    w.inventory_risk = K.inventory_risk(w, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST)
+    CT.load_warehouse(w, db)
+    return CT.violations(spark, db)
+
+
 def _distinct_on(spark, sf):
     cleaned = _sales_cleaned(spark, sf)
     return WH.distinct_on(cleaned, "StockCode", ["InvoiceDate", "Invoice"]) \
@@ -276,6 +355,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "baseline_audit": lambda s, sf: C.baseline_audit(TD.dirty_sales(s, sf)),
         "coerce_numeric": _coerce,
         "load_merge": _load_merge,
+        "load_audit": lambda s, sf: _audit(s, sf).report(),
+        "load_rejects": _load_rejects,
+        "load_accepted": _load_accepted,
+        "csv_by_name": _csv_by_name,
+        "append_parts": _append_parts,
+        "forecast_file": _forecast_file,
+        "default_columns": _default_columns,
+        "catalog_constraints": _catalog_constraints,
         # tables of the cleaning step and EDA
         "monthly_sales": lambda s, sf: R.monthly_sales(_sales_cleaned(s, sf)),
         "monthly_by_product": lambda s, sf: R.monthly_by_product(_sales_cleaned(s, sf)),

@@ -60,6 +60,7 @@ GUEST_KEY = -1
 # Inventory risk thresholds on the average monthly quantity.
 RISK_HIGH = 1000
 RISK_MEDIUM = 300
+RISK_LEVELS = ["LOW", "MEDIUM", "HIGH"]
 # Demand trend: recent 3-month average against the long-run average.
 TREND_RISING = 1.2
 TREND_FALLING = 0.8

@@ -48,6 +48,22 @@ def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def read_text(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, fmt: str = "csv", header: bool = True) -> DataFrame:
+    """All parts in one scan as text columns named by ``schema``."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "csv":
+        return spark.read.schema(_text_schema(schema.fieldNames())).option("header", header).option("mode", "FAILFAST").csv(paths)
+    if fmt != "parquet":
+        raise ValueError(f"unsupported raw format: {fmt}")
+    parts = [spark.read.parquet(p) for p in paths]
+    text = parts[0]
+    for other in parts[1:]:
+        text = text.unionByName(other, allowMissingColumns=True)
+    if len(text.columns) == len(schema.fields) and text.columns != schema.fieldNames():
+        text = text.toDF(*schema.fieldNames())
+    return text.select([F.col(n).cast("string") for n in schema.fieldNames()])
+
+
 def load_raw(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
              schema: T.StructType = schemas.RAW_SALES, header: bool = True,
              timestamp_format: str | None = None, on_bad: str = "fail") -> DataFrame:
@@ -59,27 +75,19 @@ def load_raw(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
     (``unionByName``), so parts with a different column order still line up.
 
     Fields that hold text which is not of their type: ``on_bad="fail"`` stops the load and
-    tells how many, ``"count"`` keeps the rows, with NULL there and their number in a column
-    ``bad_fields``.
+    tells how many (it reads the input once for that), ``"raise"`` lets the first such row end
+    the job that reads the rows (one pass in all), ``"count"`` keeps the rows, with NULL there
+    and their number in a column ``bad_fields``. ``audit.audited_load`` puts them aside.
     """
-    if on_bad not in ("fail", "count"):
+    if on_bad not in ("fail", "count", "raise"):
         raise ValueError(f"on_bad: {on_bad}")
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if fmt == "csv":
-        text = spark.read.schema(_text_schema(schema.fieldNames())).option("header", header).option("mode", "FAILFAST").csv(paths)
-    elif fmt == "parquet":
-        parts = [spark.read.parquet(p) for p in paths]
-        text = parts[0]
-        for other in parts[1:]:
-            text = text.unionByName(other, allowMissingColumns=True)
-        if len(text.columns) == len(schema.fields) and text.columns != schema.fieldNames():
-            text = text.toDF(*schema.fieldNames())
-        text = text.select([F.col(n).cast("string") for n in schema.fieldNames()])
-    else:
-        raise ValueError(f"unsupported raw format: {fmt}")
+    text = read_text(spark, paths, schema, fmt, header)
     rows = typed(text, schema, count_bad=True, timestamp_format=timestamp_format)
     if on_bad == "count":
         return rows
+    if on_bad == "raise":
+        fine = F.when(F.col(BAD_FIELDS) == 0, F.lit(True)).otherwise(F.raise_error(F.concat(F.col(BAD_FIELDS), F.lit(" fields of a row do not parse"))))
+        return rows.filter(fine).drop(BAD_FIELDS)
     bad = rows.agg(F.sum(BAD_FIELDS)).first()[0] or 0
     if bad:
         raise ValueError(f"{bad} fields do not parse; load with on_bad='count' to see them")
