@@ -209,3 +209,29 @@ def test_one_total_series_and_short_series(spark):
         series_df(spark, [5.0, 6.0]).withColumn("k", F.lit("short")))
     status = {r.k: r.status for r in model_selection(both, ["k"])["selection"].collect()}
     assert status.pop("short") == "no fit" and set(status.values()) == {"ok"}
+
+
+def test_batched_fits_equal_single_ones_and_short_series_get_a_shorter_cycle(spark):
+    import datetime as dt
+    from tillspark.operators import ets as ETS
+    import random
+    rng = random.Random(8)
+
+    def month(i):
+        return dt.date(2010 + i // 12, 1 + i % 12, 1)
+    lengths = {f"k{j}": n for j, n in enumerate([2, 3, 4, 7, 14, 14, 23, 24, 30, 30, 41])}
+    rows = [(k, month(i), 100 + 10 * ((i % 7) - 3) + rng.random()) for k, n in lengths.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, ds date, y double")
+    many = {(r.k, r.form): r for r in ETS.ets_fit(df, ["k"]).collect()}
+    for k in ("k4", "k5", "k8", "k9"):
+        for r in ETS.ets_fit(df.filter(df.k == k), ["k"]).collect():
+            assert many[(k, r.form)] == r
+    sql = {(r.k, r.form): r for r in ETS.ets_fit(df.filter("k IN ('k7', 'k8', 'k10')"), ["k"], engine="sql").collect()}
+    assert all(many[key].sse == r.sse and many[key].season == r.season for key, r in sql.items()) and len(sql) == 12
+    cycles = {k: {f: len(many[(k, f)].season) for f in ("add", "none") if (k, f) in many} for k in lengths}
+    assert cycles["k0"] == {} and cycles["k1"] == {"none": 0} and cycles["k2"] == {"add": 2, "none": 0}
+    assert cycles["k4"]["add"] == 7 and cycles["k6"]["add"] == 11 and cycles["k7"]["add"] == 12
+    ahead = [r for r in ETS.ets_forecast(ETS.ets_fit(df.filter("k = 'k4'"), ["k"]), ["k"], 7).collect() if r.form == "add"]
+    seasonal = [10 * (((14 + i) % 7) - 3) for i in range(7)]
+    mean = sum(r.forecast for r in ahead) / 7
+    assert all(abs((r.forecast - mean) - s) < 12 for r, s in zip(sorted(ahead, key=lambda r: r.step), seasonal))

@@ -12,8 +12,8 @@ around it. Two engines give the same numbers:
   series row (a generator, not a join), and the recursion is a SQL ``aggregate`` fold
   over the value array with a struct state (level, trend, season array, step, SSE,
   error sum). Everything stays in the JVM, but higher-order functions are interpreted.
-* ``engine='numpy'`` (default, ``ets_numpy.py``): one grouped pandas call per series
-  runs all candidates at once as vectors, about 20x faster.
+* ``engine='numpy'`` (default, ``ets_numpy.py``): all candidates of many series advance at
+  once as arrays, in batches of series.
 
 Initial states are the usual heuristics (first-cycle means), not fitted; the model
 family and the selection protocol are those of the reference, the digits are not
@@ -132,16 +132,17 @@ def ets_fit(series: DataFrame, keys: Sequence[str], forms: Sequence[str] = FORMS
             engine: str = "numpy", form_column: str | None = None) -> DataFrame:
     """Best smoothing parameters and final state per series and form.
 
-    ``engine='numpy'`` (default) runs the search in one grouped pandas function per
-    series with the candidates as vectors; ``engine='sql'`` runs it as ``aggregate``
+    ``engine='numpy'`` (default) runs the search over batches of series with the candidates as
+    arrays; ``engine='sql'`` runs it as ``aggregate``
     folds in the JVM. Both do the same floating-point operations in the same order
     and give the same numbers; the vector form is about two orders of magnitude faster
     because higher-order SQL functions are interpreted.
 
     Columns: keys, form, alpha, beta, gamma, sse, resid_std (population std of the
-    one-step errors), level, trend, season, steps (points folded), n, last_ds. Seasonal
-    forms need two full cycles, the others three points; shorter series get no row for
-    that form. NaN/inf SSE (e.g. ``mul`` on a series with zeros) never wins. ``form_column``
+    one-step errors), level, trend, season, steps (points folded), n, last_ds. All forms need
+    three points and seasonal ones two cycles: the cycle of a series of fewer than
+    ``2 * period`` points is half its length, and below four points there is none (the SQL
+    engine fits seasonal forms to full cycles only). A series that is too short gets no row. NaN/inf SSE (e.g. ``mul`` on a series with zeros) never wins. ``form_column``
     names a column of ``series`` with the one form to fit to each series.
     """
     keys = list(keys)
@@ -176,14 +177,15 @@ def ets_forecast(fits: DataFrame, keys: Sequence[str], h: int | str = schemas.HO
     """h-step forecasts from fitted states with a constant +-z*sigma interval.
 
     ``h`` is a number of months or the name of a per-series column. Season slot of
-    step k is (steps + k - 1) mod period, the slot the recursion would use next.
+    step k is (steps + k - 1) mod the length of the season, the slot the recursion would use next.
     """
     keys = list(keys)
     hc = F.col(h) if isinstance(h, str) else F.lit(h)
     f = fits.filter(hc >= 1).select("*", F.explode(F.sequence(F.lit(1), hc.cast("int"))).alias("step"))
     k = F.col("step")
     base = F.col("level") + k * F.col("trend")
-    sv = F.element_at(F.col("season"), (((F.col("steps") + k - 1) % period) + 1).cast("int"))
+    cycle = F.when(F.size("season") > 0, F.size("season")).otherwise(F.lit(period))
+    sv = F.try_element_at(F.col("season"), (((F.col("steps") + k - 1) % cycle) + 1).cast("int"))
     yhat = (F.when(F.col("form") == "add", base + sv)
             .when(F.col("form") == "mul", base * sv)
             .when(F.col("form") == "none", base)
