@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,14 +168,41 @@ def with_sale_id(fact: DataFrame) -> DataFrame:
     return numbered.select(F.col("sale_id").cast("bigint"), *fact.columns)
 
 
+class BuiltWarehouse(Warehouse):
+    """A warehouse over cleaned lines whose tables are made when first asked for.
+
+    Numbering keys runs jobs, so a load that stores the lines first (``write_warehouse``) makes
+    each dimension once, from the stored lines.
+    """
+
+    def __init__(self, sales: DataFrame, regions: DataFrame | None = None, forecast: DataFrame | None = None):
+        self.sales, self.regions, self.forecast_results = sales, regions, forecast
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dim_date(self.sales)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return dim_product(self.sales)
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return dim_customer(self.sales)
+
+    @cached_property
+    def dim_country(self) -> DataFrame:
+        return dim_country(self.sales, self.regions)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_sales(self.sales, self.dim_product, self.dim_country)
+
+
 def build_warehouse(sales: DataFrame, regions: DataFrame | None = None,
                     forecast: DataFrame | None = None) -> Warehouse:
     """All star-schema tables from cleaned sales lines."""
-    dd, dp = dim_date(sales), dim_product(sales)
-    dc, dco = dim_customer(sales), dim_country(sales, regions)
-    fact = fact_sales(sales, dp, dco)
-    return Warehouse(sales=sales, dim_date=dd, dim_product=dp, dim_customer=dc, dim_country=dco,
-                     fact=fact, forecast_results=forecast)
+    return BuiltWarehouse(sales, regions, forecast)
 
 
 def fk_orphans(lines: DataFrame, products: DataFrame, countries: DataFrame) -> DataFrame:
@@ -366,7 +394,8 @@ def write_warehouse(w: Warehouse, path: str, with_ids: bool = True) -> str:
     store("dim_date", dim_date(sales))
     store("dim_customer", dim_customer(sales))
     # keys are read back from the written dimensions, not recomputed
-    products, countries = store("dim_product", dim_product(sales)), store("dim_country", w.dim_country)
+    places = dim_country(sales, w.regions) if isinstance(w, BuiltWarehouse) else w.dim_country
+    products, countries = store("dim_product", dim_product(sales)), store("dim_country", places)
     fact = fact_sales(sales, products, countries)
     fact = with_sale_id(fact) if with_ids else fact
     fact = fact.withColumn("month_key", (F.col("date_key") / 10000).cast("int"))
