@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import ODD, table
 
 from tillspark.llm import dart_minhash as D
@@ -101,3 +102,41 @@ def test_one_doc_id_with_two_texts(spark):
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == [
         (3, 3, 2), (5, 3, 2), (5, 5, 1), (5, 5, 2), (7, 5, 2), (9, 9, 3), (9, 9, 3), (9, 9, 3)]
     assert len({(r.class_id, r.class_text_hash) for r in got}) == 4 and len({(r.doc_id, r.text_hash) for r in got}) == 7
+
+
+def near_copies(rng, words, n, most):
+    out = []
+    for _ in range(n):
+        copy = list(words)
+        for i in rng.sample(range(len(words)), most):
+            copy[i] = rng.choice(VOCABULARY)
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("edits", [2, 9])
+def test_a_large_family_has_few_links(spark, tmp_path, monkeypatch, edits):
+    """300 copies with few edits (all near each other), or with so many that few are near another."""
+    rng = random.Random(edits)
+    words = [rng.choice(VOCABULARY) for _ in range(200)]
+    rows = list(enumerate([" ".join(words)] + near_copies(rng, words, 300, edits)))
+    table(spark, rows, tmp_path)
+    counted, write = {}, D.written
+
+    def watched(df, name="table"):
+        out = write(df, name)
+        if name in ("pairs", "links"):
+            counted[name] = max(counted.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(D, "written", watched)
+    got = D.op2_minhash_near_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == brute(rows)
+    assert counted.get("links", 0) < 3 * len(rows)
+
+
+def test_spanning_links_are_fewer_than_nodes():
+    names, labels = list("abcdef"), list("aabbcd")
+    edges = [(i, j) for i in range(6) for j in range(6) if i != j]
+    found = D.spanning(names, labels, edges)
+    assert len(found) == 3  # four classes
+    assert D.spanning(names, labels, [(0, 1), (2, 3)]) == []

@@ -11,12 +11,13 @@ weighted Jaccard similarity.
 
 Signatures are joined on ``BANDS`` bands of ``ROWS`` coordinates; a pair of similarity 0.8
 shares no band with a probability of 3e-6. Texts of the same words are one node. In a
-bucket of up to ``SMALL`` nodes every pair is a candidate. In a larger one all nodes are
-compared with one centre, the node with the most bucket neighbours. Nodes that large
-buckets tie together are a family; those outside its main class are then compared with all
-of its nodes in other classes, in blocks of ``BLOCK`` by ``BLOCK`` nodes that report at most
-one link a node and class. So each two nodes of a bucket are in the end compared or known to
-be in one class, and no pairs of a large bucket are listed.
+bucket of up to ``SMALL`` nodes every pair is a candidate. Nodes that larger buckets tie
+together are a family, found over one row a node and bucket. All nodes of a family are compared
+with one centre, the node with the most bucket neighbours; those that are left outside the
+family's main class get a centre among themselves, ``CENTRES`` times in all. What is outside then
+is compared with all nodes of the family in other classes, in blocks of ``BLOCK`` by ``BLOCK``
+nodes that report a spanning forest: fewer links than nodes. So each two nodes of a bucket are in
+the end compared or known to be in one class, and no pairs of a large bucket are listed.
 Every candidate pair is decided by the exact weighted Jaccard similarity of its shingles;
 classes are the connected components of the pairs of ``SIMILARITY`` or more.
 
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, documents, texts_of, written
-from .graph import components
+from .graph import components, families
 from .wordhash import Words, mix
 from .wordpool import ragged
 
@@ -48,6 +49,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
 SMALL = 8
+CENTRES = 2
 BLOCK = 256
 BROADCAST_IDS = 2_000_000
 
@@ -195,14 +197,42 @@ def shared_counts(asked: list[np.ndarray], held: list[np.ndarray]):
         yield np.bincount(owner[hits], minlength=len(held))
 
 
-def links_of_the_rest(star: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): similar nodes of one family, one of them outside the family's main class."""
-    family = components(star).withColumnRenamed("label", "family")
+def spanning(names: list, labels: list, edges) -> list[tuple]:
+    """Of the edges (i, j) between rows of ``names``, those that tie classes not yet tied."""
+    parent = {x: x for x in labels}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+    out = []
+    for i, j in edges:
+        x, y = root(labels[i]), root(labels[j])
+        if x != y:
+            parent[x] = y
+            out.append((names[i], names[j]))
+    return out
+
+
+def main_classes(family: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes of each family with their class, and each family's size, main class and its size."""
     rows = written(family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "families")
     sizes = rows.groupBy("family", "label").count().groupBy("family").agg(
         F.max(F.struct("count", "label"))["label"].alias("main"), F.sum("count").alias("size"), F.max("count").alias("in_main"))
+    return rows, sizes.filter(F.col("size") > F.col("in_main"))
+
+
+def star_pairs(nodes: DataFrame, popular: DataFrame) -> DataFrame:
+    """(a, b): each node of (family, node) with the most popular one of its family."""
+    centres = nodes.join(popular, "node").groupBy("family").agg(F.max(F.struct("popularity", "node"))["node"].alias("centre"))
+    return (nodes.join(centres, "family").filter("node <> centre")
+            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
+
+
+def links_of_the_rest(rows: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): similar nodes of one family, one of them outside the family's main class."""
     parts = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = sizes.filter(F.col("size") > F.col("in_main")).select(
+    sizes = sizes.select(
         "family", "main", parts(F.col("size")).alias("blocks"), parts(F.col("size") - F.col("in_main")).alias("chunks"))
     rows = rows.join(sizes, "family").join(sets, "node")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -220,12 +250,13 @@ def links_of_the_rest(star: DataFrame, labels: DataFrame, sets: DataFrame) -> Da
             held = [np.frombuffer(x, np.uint32) for x in sets]
             sizes = np.array([len(x) for x in held])
             asks = [np.frombuffer(x, np.uint32) for x in right.column("elements").to_pylist()]
-            own = zip(right.column("node").to_pylist(), right.column("label").to_pylist(), asks)
-            for (node, label, x), shared in zip(own, shared_counts(asks, held)):
-                near = np.flatnonzero(shared / np.maximum(sizes + len(x) - shared, 1) >= SIMILARITY)
-                found = {classes[i]: names[i] for i in near if classes[i] != label}
-                a += [node] * len(found)
-                b += found.values()
+
+            def edges():
+                for i, (x, shared) in enumerate(zip(asks, shared_counts(asks, held))):
+                    for j in np.flatnonzero(shared / np.maximum(sizes + len(x) - shared, 1) >= SIMILARITY).tolist():
+                        yield len(names) + i, j
+            found = spanning(names + right.column("node").to_pylist(), classes + right.column("label").to_pylist(), edges())
+            a, b = [x for x, _ in found], [y for _, y in found]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return (held.groupBy("family", "block", "chunk").cogroup(asked.groupBy("family", "block", "chunk"))
@@ -266,10 +297,10 @@ def classes_of_rows(docs: DataFrame) -> DataFrame:
     pairs = few.toDF("key", "x").join(few.toDF("key", "y"), "key").filter("x < y")
     many = members.filter(F.col("size") > SMALL)
     popular = members.groupBy("node").agg(F.sum("size").alias("popularity"))
-    centres = written(many.join(popular, "node").groupBy("key").agg(
-        F.max(F.struct("popularity", "node"))["node"].alias("node")), "centres")
-    star = centres.toDF("key", "x").join(many.select("key", F.col("node").alias("y")), "key").filter("x <> y")
-    pairs = written(ordered(pairs.select("x", "y").union(star.select("x", "y"))), "pairs")
+    some = not many.isEmpty()
+    family = written(families(many.select("key", "node")).withColumnRenamed("label", "family"), "family") if some else None
+    pairs = ordered(pairs.select("x", "y"))
+    pairs = written(pairs.union(star_pairs(family, popular)).distinct() if some else pairs, "pairs")
 
     # shingles are made again for the nodes that can need them: those that share a bucket
     # (one hash of the row's key: a chance equal row is made again for nothing)
@@ -283,8 +314,16 @@ def classes_of_rows(docs: DataFrame) -> DataFrame:
     decided = written(similarities(pairs, sets), "similarities")
     links = decided.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
     labels = components(links)
-    if not many.isEmpty():
-        links = written(links.union(links_of_the_rest(star.select(F.col("x").alias("a"), F.col("y").alias("b")), labels, sets)), "links")
+    for turn in range(CENTRES if some else 0):
+        classes, sizes = main_classes(family, labels)
+        if sizes.isEmpty():
+            break
+        if turn < CENTRES - 1:
+            rest = classes.join(sizes.select("family", "main"), "family").filter("label <> main").select("family", "node")
+            near = similarities(star_pairs(rest, popular), sets).filter(F.col("similarity") >= SIMILARITY).select("a", "b")
+        else:
+            near = links_of_the_rest(classes, sizes, sets)
+        links = written(links.union(near), "links")
         labels = components(links)
 
     groups = first.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))

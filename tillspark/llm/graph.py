@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+def families(members: DataFrame) -> DataFrame:
+    """(node, label) of every node of the memberships (key, node): nodes that keys tie together
+    have one label, the least node. A round takes the least label of each key, then of each
+    node's keys, over one row a membership."""
+    labels = written(members.select("node", F.col("node").alias("label")).distinct(), "labels")
+    while True:
+        of_key = members.join(labels, "node").groupBy("key").agg(F.min("label").alias("least"))
+        near = members.join(of_key, "key").groupBy("node").agg(F.min("least").alias("near"))
+        labels, changed = _jumped(labels, near)
+        if not changed:
+            return labels
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of the undirected links (a, b); label: the least node.
 
@@ -19,9 +32,14 @@ def components(links: DataFrame) -> DataFrame:
     labels = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")), "labels")
     while True:
         near = (both.join(labels.toDF("other", "near"), "other").groupBy("node").agg(F.min("near").alias("near")))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        roots = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = written(lower.join(roots, "label").select("node", "old", F.least("label", "root").alias("label")), "labels")
-        labels = new.select("node", "label")
-        if new.filter("old <> label").isEmpty():
+        labels, changed = _jumped(labels, near)
+        if not changed:
             return labels
+
+
+def _jumped(labels: DataFrame, near: DataFrame) -> tuple[DataFrame, bool]:
+    """Labels lowered to ``near`` (node, near) and to the label of their label; whether any was."""
+    lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+    roots = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    new = written(lower.join(roots, "label").select("node", "old", F.least("label", "root").alias("label")), "labels")
+    return new.select("node", "label"), not new.filter("old <> label").isEmpty()

@@ -22,12 +22,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64, for i up to n at least."""
-    def make():
+    """BASE**i and its inverse modulo 2**64, for i up to n at least; one table a worker, which grows."""
+    store = resident("powers", dict)
+    if len(store.get("up", ())) <= n:
         inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (BASE, inverse))
-    size = 1 << max(16, int(n).bit_length())
-    return resident(("powers", size), make)
+        size = 1 << max(16, int(n).bit_length())
+        for name, b in (("up", BASE), ("down", inverse)):
+            store[name] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)]))
+    return store["up"], store["down"]
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
