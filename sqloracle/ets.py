@@ -1,6 +1,6 @@
 """DuckDB oracle of the Holt-Winters grid search: a recursive CTE replays the recursion.
 
-Same grid (coarse, then one fine step around the best), same initial states, same
+Same grid (coarse, then steps of 0.1 and 0.02 around the best), same initial states, same
 order of floating-point operations, so the numbers are bit-identical when both engines
 follow IEEE arithmetic.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 COARSE = "[0.1, 0.3, 0.5, 0.7, 0.9]::DOUBLE[]"
 DELTAS = "[-0.1, 0.0, 0.1]::DOUBLE[]"
+FINER = "[-0.02, 0.0, 0.02]::DOUBLE[]"
 
 _FORM_NEED = "CASE WHEN f.form IN ('add', 'mul') THEN 24 ELSE 3 END"
 
@@ -79,6 +80,20 @@ def _search(name: str, arrays: str, cands: str) -> str:
 )"""
 
 
+def _around(name: str, best: str, deltas: str) -> str:
+    """CTE ``name``: the candidates around the ones of ``best``."""
+    return f"""{name} AS (
+  SELECT b.Country, b.form,
+         least(greatest(b.alpha + da.d, 0.01), 0.99) AS alpha,
+         CASE WHEN b.form = 'simple' THEN 0.0::DOUBLE ELSE least(greatest(b.beta + db.d, 0.01), 0.99) END AS beta,
+         CASE WHEN b.form IN ('add', 'mul') THEN least(greatest(b.gamma + dg.d, 0.01), 0.99) ELSE 0.0::DOUBLE END
+           AS gamma
+  FROM {best} b, (SELECT unnest({deltas}) AS d) da, (SELECT unnest({deltas}) AS d) db,
+       (SELECT unnest({deltas}) AS d) dg
+  WHERE (b.form <> 'simple' OR db.d = 0.0) AND (b.form IN ('add', 'mul') OR dg.d = 0.0)
+)"""
+
+
 def fit_ctes(series: str, prefix: str) -> str:
     """CTEs ending in ``{prefix}_fit``: best parameters and final state per (Country, form)."""
     arrays = f"{prefix}_arrays"
@@ -96,21 +111,13 @@ def fit_ctes(series: str, prefix: str) -> str:
     AND ((f.form = 'simple') = (be.beta = 0.0))
     AND ((f.form IN ('add', 'mul')) = (ga.gamma <> 0.0))
 ),{_search(prefix + "_c", arrays, prefix + "_coarse")},
-{prefix}_fine AS (
-  SELECT b.Country, b.form,
-         least(greatest(b.alpha + da.d, 0.01), 0.99) AS alpha,
-         CASE WHEN b.form = 'simple' THEN 0.0::DOUBLE ELSE least(greatest(b.beta + db.d, 0.01), 0.99) END AS beta,
-         CASE WHEN b.form IN ('add', 'mul') THEN least(greatest(b.gamma + dg.d, 0.01), 0.99) ELSE 0.0::DOUBLE END
-           AS gamma
-  FROM {prefix}_c_best b, (SELECT unnest({DELTAS}) AS d) da, (SELECT unnest({DELTAS}) AS d) db,
-       (SELECT unnest({DELTAS}) AS d) dg
-  WHERE (b.form <> 'simple' OR db.d = 0.0) AND (b.form IN ('add', 'mul') OR dg.d = 0.0)
-),{_search(prefix + "_f", arrays, prefix + "_fine")},
+{_around(prefix + "_fine", prefix + "_c_best", DELTAS)},{_search(prefix + "_f", arrays, prefix + "_fine")},
+{_around(prefix + "_finer", prefix + "_f_best", FINER)},{_search(prefix + "_g", arrays, prefix + "_finer")},
 {prefix}_fit AS (
   SELECT Country, form, alpha, beta, gamma, sse,
          sqrt(greatest(sse / t - pow(se / t, 2), 0.0)) AS resid_std,
          l AS level, b AS trend, s AS season, CAST(t AS INTEGER) AS steps, CAST(n AS INTEGER) AS n, last_ds
-  FROM {prefix}_f_best WHERE sse IS NOT NULL AND isfinite(sse)
+  FROM {prefix}_g_best WHERE sse IS NOT NULL AND isfinite(sse)
 )"""
 
 

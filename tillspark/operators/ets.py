@@ -4,8 +4,8 @@ Forms: additive trend with additive seasonality (``add``), multiplicative season
 (``mul``), no seasonality (``none``, trend only) and simple smoothing (``simple``).
 
 The candidate smoothing parameters are a fixed grid; the best candidate per series and
-form has the lowest in-sample one-step SSE, and a second, finer grid is then searched
-around it. Two engines give the same numbers:
+form has the lowest in-sample one-step SSE, and two finer grids (steps 0.1 and 0.02) are then
+searched, each around the best candidate so far. Two engines give the same numbers:
 
 * ``engine='sql'``: each series becomes one row with its ordered values (a calendar of
   months, bounded by the history length, not by the data), the grid is exploded per
@@ -33,7 +33,7 @@ FORMS = ("add", "mul", "none", "simple")
 SEASONAL = ("add", "mul")
 LABELS = {"add": "add", "mul": "mul", "none": "none (trend only)", "simple": "simple"}
 COARSE = (0.1, 0.3, 0.5, 0.7, 0.9)
-FINE_STEP = 0.1
+FINE_STEPS = (0.1, 0.02)
 
 
 def series_arrays(series: DataFrame, keys: Sequence[str], y: str = "y") -> DataFrame:
@@ -105,9 +105,9 @@ def _grid(form: str, values: Sequence[float]) -> Column:
                      for a in values for b in betas for g in gammas])
 
 
-def _refine(form: str, best: Column) -> Column:
-    """Candidates within one fine step of the best coarse candidate."""
-    d = [-FINE_STEP, 0.0, FINE_STEP]
+def _refine(form: str, best: Column, step: float) -> Column:
+    """Candidates within one step of the best one so far."""
+    d = [-step, 0.0, step]
     clip = lambda c: F.least(F.greatest(c, F.lit(0.01)), F.lit(0.99))
     betas = [0.0] if form == "simple" else d
     gammas = d if form in SEASONAL else [0.0]
@@ -157,9 +157,9 @@ def ets_fit(series: DataFrame, keys: Sequence[str], forms: Sequence[str] = FORMS
         need = 2 * period if form in SEASONAL else 3
         a = arrays.filter(F.col("n") >= need)
         best = _search(a, keys, form, period, _grid(form, coarse))
-        if refine:
+        for step in FINE_STEPS if refine else ():
             best = _search(best.select(*keys, "_y", "last_ds", "n", F.col("p").alias("_best")), keys, form,
-                           period, _refine(form, F.col("_best")))
+                           period, _refine(form, F.col("_best"), step))
         part = best.select(
             *keys, F.lit(form).alias("form"), F.col("p.alpha").alias("alpha"), F.col("p.beta").alias("beta"),
             F.col("p.gamma").alias("gamma"), "sse",

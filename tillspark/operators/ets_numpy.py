@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 FORMS = ("add", "mul", "none", "simple")
 SEASONAL = ("add", "mul")
+FINE_STEPS = (0.1, 0.02)  # each search is around the best candidate of the one before
 SERIES_AT_ONCE = 256
-FINE_STEP = 0.1
 
 
 def _seq_mean(v: np.ndarray) -> np.ndarray:
@@ -39,8 +39,8 @@ def _candidates(form: str, values: Sequence[float]) -> np.ndarray:
                                  [float(g) for g in gammas])), dtype=np.float64)
 
 
-def _refined(form: str, best: np.ndarray) -> np.ndarray:
-    d = [-FINE_STEP, 0.0, FINE_STEP]
+def _refined(form: str, best: np.ndarray, step: float) -> np.ndarray:
+    d = [-step, 0.0, step]
     clip = lambda v: min(max(v, 0.01), 0.99)
     betas = [0.0] if form == "simple" else d
     gammas = d if form in SEASONAL else [0.0]
@@ -108,8 +108,8 @@ def _fit_many(y: np.ndarray, form: str, period: int, coarse, refine: bool) -> di
         cand = np.broadcast_to(_candidates(form, coarse), (len(y), *_candidates(form, coarse).shape))
         lv, bv, s, steps, sse, se = _run(form, y, period, cand)
         i = _best(cand, sse)
-        if refine:
-            cand = np.stack([_refined(form, best) for best in cand[each, i]])
+        for step in FINE_STEPS if refine else ():
+            cand = np.stack([_refined(form, best, step) for best in cand[each, i]])
             lv, bv, s, steps, sse, se = _run(form, y, period, cand)
             i = _best(cand, sse)
         sse, se, best = sse[each, i], se[each, i], cand[each, i]
