@@ -226,6 +226,19 @@ def _fact(spark, sf):
     return _dbl(sales_warehouse(spark, sf).fact)
 
 
+def _histories(spark, sf):
+    """The lines of the last customer, the first product and the last invoice by name."""
+    store = _store(spark, sf)
+    w = store.read()
+    customer = w.dim_customer.agg(F.max("customer_id")).first()[0]
+    product, invoice = w.dim_product.agg(F.min("stock_code")).first()[0], w.dim_invoice.agg(F.max("invoice_no")).first()[0]
+    parts = [lines.withColumn("asked", F.lit(asked)) for asked, lines in (
+        ("customer", store.lines_of(customer_id=customer)), ("product", store.lines_of(stock_code=product)),
+        ("invoice", store.lines_of(invoice_no=invoice)))]
+    lines = parts[0].unionByName(parts[1]).unionByName(parts[2]).join(w.dim_product, "product_key")
+    return _dbl(lines.select("asked", "invoice_no", "date_key", "stock_code", "description", "customer_key", "quantity", "total_revenue"))
+
+
 def _fact_by_lookup(spark, sf):
     """The fact with keys looked up skew-proof from an existing customer dimension, without
     the customers of every fourth id: their lines fall to the guest, as do lines without one."""
@@ -322,6 +335,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_load": _incremental_load,
         "incremental_products": lambda s, sf: _kept(s, sf).dim_product,
         "incremental_customers": lambda s, sf: _kept(s, sf).dim_customer,
+        "customer_history": _histories,
         "distinct_by_bitmap": _with(_kept, K.distinct_counts),
         "kept_q01": _with(_kept, K.q01_monthly_revenue),
         "kept_q08": _with(_kept, K.q08_monthly_product),

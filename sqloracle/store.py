@@ -28,6 +28,13 @@ FROM loads JOIN products ON stock_code = StockCode JOIN places ON country_name =
 SELECT product_key, stock_code, coalesce(description, 'Unknown') AS description FROM products JOIN names USING (stock_code)
 """,
     "incremental_customers": SALES_WH + "SELECT * FROM dim_customer",
+    "customer_history": SALES_WH + """,
+lines AS (SELECT invoice_no, date_key, stock_code, description, customer_key, quantity, CAST(total_revenue AS DOUBLE) AS total_revenue
+          FROM fact JOIN dim_product USING (product_key))
+SELECT 'customer' AS asked, * FROM lines WHERE customer_key = (SELECT max(customer_id) FROM dim_customer)
+UNION ALL SELECT 'product', * FROM lines WHERE stock_code = (SELECT min(stock_code) FROM dim_product)
+UNION ALL SELECT 'invoice', * FROM lines WHERE invoice_no = (SELECT max(invoice_no) FROM fact)
+""",
     "fact_by_lookup": SALES_WH + """
 SELECT invoice_no, date_key, product_key, CASE WHEN customer_key % 4 = 0 THEN -1 ELSE customer_key END AS customer_key, country_key,
        quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_revenue AS DOUBLE) AS total_revenue

@@ -97,6 +97,26 @@ def test_a_load_that_failed_after_staging_is_completed(spark, tmp_path, monkeypa
     assert named(store.read()) == named(WH.build_warehouse(sales(spark, rows)))
 
 
+def scanned(df):
+    """Rows that the scan of a plan without exchanges has given out."""
+    rows = df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return rows, leaf.metrics().apply("numOutputRows").value()
+
+
+def test_point_lookups_skip_row_groups(spark, grown):
+    store, lines = grown["store"], grown["rows"]
+    for asked, want in (({"invoice_no": "7"}, [r for r in lines if r[0] == "7"]), ({"customer_id": 500_000}, [r for r in lines if r[6] == 500_000]),
+                        ({"stock_code": "A0003"}, [r for r in lines if r[1] == "A0003"]), ({"stock_code": "none"}, []),
+                        ({"customer_id": 11, "stock_code": "A0003"}, [r for r in lines if r[6] == 11 and r[1] == "A0003"])):
+        assert store.lines_of(**asked).count() == len(want)
+    all_lines = len(lines)
+    rows, read = scanned(store.lines_of(invoice_no="1x"))     # between the least and the greatest, but absent
+    assert rows == [] and read < all_lines / 3
+    rows, read = scanned(store.lines_of(customer_id=400_000))
+    assert rows == [] and read <= all_lines
+
+
 def test_empty_batch_and_missing_store(spark, tmp_path):
     store = Store(spark, str(tmp_path / "none"))
     assert store.load(sales(spark, [])) == []

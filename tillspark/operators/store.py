@@ -3,7 +3,8 @@
 Month-partitioned tables (rewritten for the months that got new lines, never for others):
 
 * ``staging_sales``  cleaned lines with their ``sale_id``; the base of everything below
-* ``fact_sales``     lines with surrogate keys
+* ``fact_sales``     lines with surrogate keys, sorted by customer in each file, with Bloom filters
+  of products and invoices, for lookups of a few lines (``lines_of``)
 * ``product_names``  lines per (stock code, description)
 * ``daily_product``, ``monthly_product``  revenue, units, lines per product and day or month
 * ``distinct_bits``  daily bitmaps of invoices, customers and products
@@ -94,14 +95,15 @@ class Store:
         row = self.spark.createDataFrame([(version, products, next_sale_id, pending)], STATE).coalesce(1)
         row.write.parquet(f"{self.path}/_state/{version:08d}")
 
-    def overwrite_months(self, name: str, df: DataFrame, order: list[str]) -> None:
+    def overwrite_months(self, name: str, df: DataFrame, order: list[str], bloom: tuple[str, ...] = ()) -> None:
         """Writes whole months; months that are not in ``df`` keep their files.
 
         Rows are dealt by month, where AQE splits a month that is too large for one task and puts
-        small ones together.
+        small ones together. ``bloom`` columns get a Bloom filter per row group.
         """
-        (df.hint("rebalance", "month_key").sortWithinPartitions("month_key", *order)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(f"{self.path}/{name}"))
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom}
+        (df.hint("rebalance", "month_key").sortWithinPartitions("month_key", *order).write.options(**filters)
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(f"{self.path}/{name}"))
 
     def append_new(self, name: str, rows: DataFrame, key: str, number: str | None = None, order: list[str] | None = None) -> None:
         """Appends rows whose key is not stored (A11), numbered on from the highest number."""
@@ -156,7 +158,7 @@ class Store:
         invoices = staged.groupBy(F.col("Invoice").alias("invoice_no")).agg(F.min("InvoiceDate").alias("first_at"))
         self.append_new("dim_invoice", invoices, "invoice_no", "invoice_key", ["first_at", "invoice_no"])
         fact = self.fact_of(staged)
-        self.overwrite_months("fact_sales", fact, ["date_key", "sale_id"])
+        self.overwrite_months("fact_sales", fact, ["customer_key", "date_key", "sale_id"], bloom=("product_key", "invoice_no"))
         self.overwrite_months("product_names", staged.groupBy("month_key", F.col("StockCode").alias("stock_code"), "Description")
                               .agg(F.count(F.lit(1)).alias("lines")), ["stock_code"])
         day = F.to_date((F.floor(F.col("date_key") / 100)).cast("string"), "yyyyMMdd")
@@ -201,6 +203,24 @@ class Store:
 
     # -- reading --------------------------------------------------------------------------
 
+    def lines_of(self, customer_id: int | None = None, stock_code: str | None = None, invoice_no: str | None = None) -> DataFrame:
+        """Fact lines of a customer, a product, an invoice, or of what is given of them.
+
+        The fact is sorted by customer within its files, so page statistics skip other customers;
+        for products and invoices Bloom filters skip row groups. The key of a product is looked up
+        first, so that the filter on the fact is one on literals, which reaches the scan.
+        """
+        w = self.read()
+        lines = w.fact
+        if customer_id is not None:
+            lines = lines.filter(F.col("customer_key") == customer_id)
+        if invoice_no is not None:
+            lines = lines.filter(F.col("invoice_no") == invoice_no)
+        if stock_code is not None:
+            found = w.dim_product.filter(F.col("stock_code") == stock_code).select("product_key").first()
+            lines = lines.filter(F.col("product_key") == (found.product_key if found else -1))
+        return lines
+
     def read(self) -> KeptWarehouse:
         """The warehouse as of the last complete load."""
         state = self.state()
