@@ -39,6 +39,13 @@ def test_sequences_are_views_with_masks(spark, tmp_path):
     assert (flat[mask][np.cumsum([n.as_py() for n in reader.index.column("n_tokens")]) - 1] == 2).all()
 
 
+def test_ids_that_span_all_longs(spark, tmp_path):
+    rows = [(-2**63, "first words"), (5, None), (2**63 - 1, "last"), (None, "none"), (6, "")]
+    table(spark, rows, tmp_path)
+    got = sorted(map(tuple, TF.op6_token_files(spark, str(tmp_path)).collect()), key=lambda r: r[1])
+    assert got == expected(rows)
+
+
 def test_empty_table(spark, tmp_path):
     table(spark, [], tmp_path)
     assert TF.op6_token_files(spark, str(tmp_path)).collect() == []

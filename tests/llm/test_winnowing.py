@@ -72,3 +72,17 @@ def test_empty_table_and_clashing_columns(spark):
     one = spark.createDataFrame([(1, "a b c d e f", 3, 4, 5)], "doc_id bigint, text string, hashes int, _bucket int, next_text int")
     row = Wn.fingerprint_pairs(one).first()
     assert row.near_next == 1.0 and re.fullmatch("a b c.*", row.text)
+
+
+def test_ids_that_span_all_longs(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(Wn, "ROWS_PER_BUCKET", 2)
+    rows = [(-2**63, "aaaa"), (-2**62 - 7, "bb"), (5, "cccccc"), (2**62, ""), (2**63 - 1, "dddd eeee")]
+    table(spark, rows, tmp_path)
+    got = {r.doc_id: r.edited_sha256 for r in Wn.op1_document_fingerprints(spark, str(tmp_path)).collect()}
+    order = sorted(rows, reverse=True)
+    for i, (doc_id, text) in enumerate(order):
+        following, half = order[(i + 1) % len(order)][1], len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        assert got[doc_id] == hashlib.sha256(edited.encode()).hexdigest()

@@ -7,6 +7,7 @@ import types
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,15 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def range_of(key: str, lo: int | None, width: int) -> Column:
+    """The place of a whole-number key among ranges of equal width from ``lo`` on (null key: -1).
+
+    In decimals, as the distance of two ids may not fit a long.
+    """
+    return F.coalesce(F.expr(f"CAST((CAST(`{key}` AS DECIMAL(20,0)) - CAST('{lo or 0}' AS DECIMAL(20,0))) "
+                             f"div CAST('{width}' AS DECIMAL(20,0)) AS BIGINT)"), F.lit(-1))
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` to a lambda variable, so that it is evaluated once per use of ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -57,6 +67,17 @@ def resident(key, make):
     return store[key]
 
 
+def hand_back() -> None:
+    """Gives memory that was freed back to the system: a worker serves many tasks, and what the C
+    library keeps for itself counts against the executor (a no-op where it cannot be asked)."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    pa.default_memory_pool().release_unused()
+    if trim:
+        trim(0)
+
+
 def chunks(batch, column: str, most_bytes: int = 1_000_000):
     """Slices of an Arrow batch of about ``most_bytes`` of text (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -85,5 +106,6 @@ def with_column(df: DataFrame, name: str, kind: str, make) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield from make(batch)
+            hand_back()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))]))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import chunks, documents, resident, shared_path, texts_of, written
+from .common import chunks, documents, range_of, resident, shared_path, texts_of, written
 from .wordpool import WordPool
 
 ROWS_PER_SHARD = 4_000
@@ -87,7 +87,7 @@ def with_shard(docs: DataFrame) -> DataFrame:
     lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     shards = max(1, min(MAX_SHARDS, math.ceil((n or 0) / ROWS_PER_SHARD)))
     width = max(1, -(-((hi or 0) - (lo or 0) + 1) // shards))
-    return docs.withColumn("shard", F.coalesce(F.floor((F.col("doc_id") - F.lit(lo or 0)) / width), F.lit(-1)))
+    return docs.withColumn("shard", range_of("doc_id", lo, width))
 
 
 class ShardWriter:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import documents, let
+from .common import documents, let, range_of
 
 K = 5
 WINDOW = 8
@@ -98,7 +98,7 @@ def with_next(docs: DataFrame, key: str, column: str, derive, *derived: str) ->
     lo, hi, n = docs.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     buckets = max(1, min(MAX_BUCKETS, math.ceil((n or 0) / ROWS_PER_BUCKET)))
     width = max(1, -(-((hi or 0) - (lo or 0) + 1) // buckets))
-    docs = docs.select("*", F.coalesce(F.floor((F.col(key) - F.lit(lo or 0)) / width), F.lit(-1)).alias("_bucket"))
+    docs = docs.select("*", range_of(key, lo, width).alias("_bucket"))
     tie = F.xxhash64(column)
     packed = F.struct(column, *derived)
 
