@@ -42,9 +42,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the hash of the text they decode to."""
-    ids = sentencepiece_bpe.encode(docs.select("doc_id", "lang", "source", "n_chars", "text"))
-    return (sentencepiece_bpe.decode(ids.withColumn("text_sha256", F.sha2("text", 256)).drop("text"))
-            .withColumns({"n_tokens": F.size("ids").cast("bigint"), "decoded_sha256": F.sha2("decoded", 256)}).drop("decoded"))
+    made = sentencepiece_bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "n_chars", "text"))
+    return (made.withColumns({"text_sha256": F.sha2("text", 256), "n_tokens": F.size("ids").cast("bigint"),
+                              "decoded_sha256": F.sha2("decoded", 256)})
+            .select("doc_id", "lang", "source", "n_chars", "text_sha256", "ids", "n_tokens", "decoded_sha256"))
 
 
 STAGES = [

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, texts_of, written
+from .common import chunks, documents, hand_back, texts_of, written
 from .graph import components, families
 from .wordhash import Words, mix
 from .wordpool import ragged
@@ -148,6 +148,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("rid", "text_hash", "doc_id")), pa.array(_nodes(words), pa.binary()), bands],
                     ["rid", "text_hash", "doc_id", "node", "bands"])
+            hand_back()
 
     return row_key(docs).mapInArrow(run, "rid bigint, text_hash bigint, doc_id bigint, node binary, bands array<bigint>")
 
@@ -163,6 +164,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 sets = [np.sort(short[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(_nodes(words), pa.binary()), pa.array(sets, pa.binary())],
                                                  ["node", "elements"])
+            hand_back()
 
     return docs.mapInArrow(run, "node binary, elements binary")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, documents, held_out, texts_of
+from .common import chunks, documents, hand_back, held_out, texts_of
 from .ngrams import groups_of, ngram_counts, share
 
 ORDERS = (1, 2, 3)
@@ -110,6 +110,7 @@ def document_frequencies(docs: DataFrame, dims: int = DIMS) -> tuple[np.ndarray,
                 for a, b in groups_of(len(texts)):
                     df += (ngram_counts(texts[a:b], ORDERS, dims) > 0).sum(axis=0)
                 n += len(texts)
+            hand_back()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, dims)), pa.array(np.append(n, df))], ["feature", "n"])
 
     rows = (docs.select("text").mapInArrow(run, "feature bigint, n bigint")
@@ -162,6 +163,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                     langs, scores = model.predict(texts_of(some, "text"))
                     yield pa.RecordBatch.from_arrays([*some.columns, pa.array(langs), pa.array(scores.astype(float))],
                                                      [*some.schema.names, "lang_pred", "score"])
+            hand_back()
 
     schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     return docs.mapInArrow(run, schema)

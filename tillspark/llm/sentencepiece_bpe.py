@@ -223,6 +223,24 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str | None
     return with_column(df, out, "array<int>", make)
 
 
+def encode_and_decode(df: DataFrame, text: str = "text", ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
+    """``df`` with the ids of its text column and the text that they decode to, in one Python worker
+    a task (``encode`` and then ``decode`` need two)."""
+    path = path or model_path()
+
+    def make(batch):
+        model = resident(("sentencepiece", path), lambda: PieceModel(path))
+        pool = resident(("sentencepiece pool", path), lambda: WordPool(model.encode_words))
+        for part in chunks(batch, text):
+            flat, offsets = pool.texts([split_words(t) for t in texts_of(part, text)])
+            made = pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                                               pa.array(model.decode(flat, offsets), pa.string())], [ids, out])
+            yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, "_made"])
+
+    made = with_column(df.drop(ids, out), "_made", f"struct<`{ids}`:array<int>,`{out}`:string>", make)
+    return made.select("*", "_made.*").drop("_made")
+
+
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """``df`` with the text of its id column."""
     path = path or model_path()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import chunks, documents, texts_of, written
+from .common import chunks, documents, hand_back, texts_of, written
 from .dart_minhash import row_id, row_key, text_hash
 from .wordhash import Words, range_hashes
 from .wordpool import ragged
@@ -82,6 +82,7 @@ def kept_suffixes(rows: DataFrame) -> DataFrame:
                 text = np.searchsorted(words.offsets, at, "right") - 1
                 yield _batch(["digest", *KEY, "place"], range_hashes(words.hashes, at, at + PREFIX).view(np.int64),
                              *(part.column(c).to_numpy()[text] for c in KEY), (at - words.offsets[text]).astype(np.int32))
+            hand_back()
 
     return rows.select(*KEY, "text").mapInArrow(run, "digest bigint, rid bigint, text_hash bigint, place int")
 
@@ -126,6 +127,7 @@ def extensions(rows: DataFrame) -> DataFrame:
                 text = np.searchsorted(words.offsets, starts, "right") - 1
                 yield _batch(["digest", *KEY, "start"], range_hashes(words.hashes, starts, starts + LENGTH).view(np.int64),
                              *(part.column(c).to_numpy()[text] for c in KEY), (starts - words.offsets[text]).astype(np.int32))
+            hand_back()
 
     return rows.mapInArrow(run, "digest bigint, rid bigint, text_hash bigint, start int")
 
@@ -215,6 +217,7 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                                              [(s["start_word"], s["end_word"]) for s in spans[i]])
                 out = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(out, columns)
+            hand_back()
 
     return rows.mapInArrow(run, docs.schema)
 
