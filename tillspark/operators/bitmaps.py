@@ -15,17 +15,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_bits(lines: DataFrame, groups: Sequence[str], kinds: dict[str, Column]) -> DataFrame:
+def distinct_bits(lines: DataFrame, groups: Sequence[str], kinds: dict[str, Column], deal: Sequence[str] | None = None,
+                  parts: int = 0) -> DataFrame:
     """(groups, kind, bucket, bits) of the keys in ``kinds`` (name -> non-negative whole number;
-    NULL does not count)."""
-    out = None
-    for kind, key in kinds.items():
-        pairs = lines.select(*groups, key.cast("bigint").alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-        bits = (pairs.groupBy(*groups, F.bitmap_bucket_number("_key").alias("bucket"))
-                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("bits"))
-                .select(*groups, F.lit(kind).alias("kind"), "bucket", "bits"))
-        out = bits if out is None else out.unionByName(bits)
-    return out
+    NULL does not count).
+
+    The distinct pairs, not bitmaps, are exchanged: a bitmap is made where all pairs of its bucket
+    are. A bitmap begun in every task would move tasks x groups x buckets of them, which grows
+    with the square of the lines. With ``deal`` (some of the groups) pairs are dealt by these and
+    one of ``parts`` of the buckets, so few tasks have rows of one value of ``deal``.
+    """
+    key = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), key.cast("bigint").alias("key")) for i, key in enumerate(kinds.values())]))
+    pairs = (lines.select(*groups, key.alias("_k")).select(*groups, "_k.kind", "_k.key").filter(F.col("key").isNotNull()).distinct()
+             .select(*groups, "kind", F.bitmap_bucket_number("key").alias("bucket"), F.bitmap_bit_position("key").alias("_bit")))
+    names = F.array(*[F.lit(k) for k in kinds])
+    part = F.pmod(F.xxhash64("kind", "bucket"), F.lit(parts)) if deal else F.xxhash64("kind", "bucket")
+    pairs = pairs.withColumn("_part", part).repartition(*(deal or groups), "_part")
+    return (pairs.groupBy(*groups, "_part", "kind", "bucket")
+            .agg(F.bitmap_construct_agg("_bit").alias("bits"))
+            .select(*groups, F.element_at(names, F.col("kind") + 1).alias("kind"), "bucket", "bits"))
 
 
 def merged_bits(bits: DataFrame, groups: Sequence[str | Column]) -> DataFrame:
