@@ -148,6 +148,26 @@ def test_bitmaps_merge(spark):
     assert tuple(counts_of_bits(bits.limit(0), [], ["a", "b"]).first()) == (0, 0)
 
 
+def test_bitmaps_are_made_after_the_exchange(spark):
+    """Begun in every task, they would be moved once a task: tasks x days x buckets of 4 KB."""
+    df = spark.range(1000).selectExpr("cast(id % 7 as int) d", "cast(id % 3 as int) m", "id a")
+    for deal in (None, ["m"]):
+        bits = distinct_bits(df, ["m", "d"], {"a": F.col("a")}, deal=deal, parts=2)
+        plan = bits._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" in plan and "bitmap_construct_agg" not in plan[plan.index("Exchange"):]
+        assert tuple(counts_of_bits(bits, [], ["a"]).first()) == (1000,)
+
+
+def test_lines_of_new_months_are_not_compared_nor_dealt_again(spark, grown, tmp_path):
+    store = grown["store"]
+    assert store.staged_months() == {201101, 201102, 201103, 201104}
+    batch = sales(spark, lines(30, 9, (6,))).withColumn("month_key", F.lit(201106)).select(*LINE, "month_key")
+    plan = store.fresh_lines(batch, [201106])._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    days = files(grown["path"], "daily_product")
+    assert len(days) == 4 and len(files(grown["path"], "distinct_bits")) == 4    # one part a month at this size
+
+
 def test_star_lookup_equals_joins_on_a_hot_key(spark):
     rng = random.Random(6)
     rows = [(i, rng.choice(["UK"] * 92 + [None] * 20 + [f"c{k}" for k in range(9)] + ["lost"])) for i in range(5_000)]

@@ -46,6 +46,7 @@ from tillspark.session import written
 
 LINE = ["InvoiceDate", "Invoice", "StockCode", "CustomerID", "Country", "Quantity", "Price", "TotalRevenue", "Description"]
 STATE = "version int, products string, next_sale_id bigint, pending array<int>"
+PART_LINES = 500_000  # lines of a month that one task rolls up
 KINDS = ["invoice", "product", "customer", "guest"]
 
 
@@ -95,14 +96,16 @@ class Store:
         row = self.spark.createDataFrame([(version, products, next_sale_id, pending)], STATE).coalesce(1)
         row.write.parquet(f"{self.path}/_state/{version:08d}")
 
-    def overwrite_months(self, name: str, df: DataFrame, order: list[str], bloom: tuple[str, ...] = ()) -> None:
+    def overwrite_months(self, name: str, df: DataFrame, order: list[str], bloom: tuple[str, ...] = (), deal: bool = True) -> None:
         """Writes whole months; months that are not in ``df`` keep their files.
 
-        Rows are dealt by month, where AQE splits a month that is too large for one task and puts
-        small ones together. ``bloom`` columns get a Bloom filter per row group.
+        Rows are dealt by month (unless ``deal`` is off: for rows that come by month), where AQE
+        splits a month that is too large for one task and puts small ones together. ``bloom``
+        columns get a Bloom filter per row group.
         """
         filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom}
-        (df.hint("rebalance", "month_key").sortWithinPartitions("month_key", *order).write.options(**filters)
+        dealt = df.hint("rebalance", "month_key") if deal else df
+        (dealt.sortWithinPartitions("month_key", *order).write.options(**filters)
          .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(f"{self.path}/{name}"))
 
     def append_new(self, name: str, rows: DataFrame, key: str, number: str | None = None, order: list[str] | None = None) -> None:
@@ -117,13 +120,24 @@ class Store:
 
     # -- a load ---------------------------------------------------------------------------
 
+    def staged_months(self) -> set[int]:
+        """Months with staged lines, from the names of their folders."""
+        return {int(c.split("=")[1]) for c in self.children("staging_sales") if c.startswith("month_key=") and c.split("=")[1].isdigit()}
+
     def fresh_lines(self, batch: DataFrame, months: list[int]) -> DataFrame:
-        """Lines of the batch that are not stored, as often as they come more than they are."""
-        marked = batch.select(*LINE, "month_key", F.lit(1).alias("_n"))
-        if self.exists("staging_sales"):
-            marked = marked.unionByName(self.months("staging_sales", months).select(*LINE, "month_key", F.lit(-1).alias("_n")))
+        """Lines of the batch that are not stored, as often as they come more than they are.
+
+        Lines of months without staged lines are all new and are not compared.
+        """
+        both = sorted(self.staged_months().intersection(months))
+        if not both:
+            return batch
+        stored = F.coalesce(F.col("month_key").isin(both), F.lit(False))
+        marked = (batch.filter(stored).select(*LINE, "month_key", F.lit(1).alias("_n"))
+                  .unionByName(self.months("staging_sales", both).select(*LINE, "month_key", F.lit(-1).alias("_n"))))
         more = marked.groupBy(*LINE, "month_key").agg(F.sum("_n").cast("int").alias("_more")).filter("_more > 0")
-        return more.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_more")))).drop("_more", "_copy")
+        more = more.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_more")))).drop("_more", "_copy")
+        return batch.filter(~stored).unionByName(written(more, "fresh"))
 
     def load(self, sales: DataFrame, regions: DataFrame | None = None) -> list[int]:
         """Adds cleaned lines (``LINE``); returns the months that changed."""
@@ -131,7 +145,7 @@ class Store:
         version, products, next_id, pending = tuple(state) if state else (0, None, 1, [])
         batch = written(sales.select(*LINE).withColumn("month_key", month_of("InvoiceDate")), "batch")
         months = [r.month_key for r in batch.select("month_key").distinct().collect()]  # calendar months
-        fresh = written(self.fresh_lines(batch, months), "fresh")
+        fresh = self.fresh_lines(batch, months)
         new = {r.month_key: r.n for r in fresh.groupBy("month_key").agg(F.count(F.lit(1)).alias("n")).collect()}
         changed = sorted({*new, *pending})
         if not changed:
@@ -142,7 +156,8 @@ class Store:
             staged = numbered.withColumn("sale_id", F.col("sale_id").cast("bigint") + (next_id - 1))
             if self.exists("staging_sales"):
                 staged = staged.unionByName(self.months("staging_sales", list(new)).select(*staged.columns))
-            self.overwrite_months("staging_sales", staged, ["InvoiceDate", "Invoice"])
+            # Numbered lines lie in ranges of their date, so a month is in few tasks: no shuffle.
+            self.overwrite_months("staging_sales", staged, ["InvoiceDate", "Invoice"], deal=False)
         self.refresh(changed, regions)
         products = self.write_products(changed, products)
         self.set_state(version + 2, products, next_id + sum(new.values()), [])
@@ -161,17 +176,23 @@ class Store:
         self.overwrite_months("fact_sales", fact, ["customer_key", "date_key", "sale_id"], bloom=("product_key", "invoice_no"))
         self.overwrite_months("product_names", staged.groupBy("month_key", F.col("StockCode").alias("stock_code"), "Description")
                               .agg(F.count(F.lit(1)).alias("lines")), ["stock_code"])
+        most = staged.groupBy("month_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        parts_of = 1 + (most or 0) // PART_LINES  # tasks that share the roll-ups of a month
         day = F.to_date((F.floor(F.col("date_key") / 100)).cast("string"), "yyyyMMdd")
         facts = self.months("fact_sales", changed).withColumn("full_date", day)
         sums = [F.sum("total_revenue").alias("revenue"), F.sum("quantity").cast("bigint").alias("units"), F.count(F.lit(1)).alias("lines")]
-        self.overwrite_months("daily_product", facts.groupBy("month_key", "full_date", "product_key").agg(*sums), ["full_date", "product_key"])
+        parts = F.pmod(F.xxhash64("full_date", "product_key"), F.lit(parts_of))
+        daily = (facts.withColumn("_part", parts).repartition("month_key", "_part")  # one exchange, for the sums and for the files
+                 .groupBy("month_key", "_part", "full_date", "product_key").agg(*sums).drop("_part"))
+        self.overwrite_months("daily_product", daily, ["full_date", "product_key"], deal=False)
         daily = self.months("daily_product", changed)
         self.overwrite_months("monthly_product", daily.groupBy("month_key", "product_key").agg(
             *[F.sum(c).cast(daily.schema[c].dataType).alias(c) for c in ("revenue", "units", "lines")]), ["product_key"])
         known = F.col("customer_key") != schemas.GUEST_KEY
         kinds = {"invoice": F.col("invoice_key"), "product": F.col("product_key"), "customer": F.when(known, F.col("customer_key")),
                  "guest": F.when(~known, F.lit(1))}
-        self.overwrite_months("distinct_bits", distinct_bits(facts, ["month_key", "full_date"], kinds), ["full_date", "kind", "bucket"])
+        bits = distinct_bits(facts, ["month_key", "full_date"], kinds, deal=["month_key"], parts=parts_of)
+        self.overwrite_months("distinct_bits", bits, [], deal=False)  # 4 KB a row: not sorted again
 
     def fact_of(self, staged: DataFrame) -> DataFrame:
         lines = staged.select(
@@ -181,11 +202,11 @@ class Store:
             F.col("TotalRevenue").cast("decimal(12,2)").alias("total_revenue"), "month_key")
         customers = self.table("dim_customer").filter(F.col("customer_key") != schemas.GUEST_KEY)
         # Stored key tables have known sizes: small ones are broadcast without an exchange of the lines.
-        lines = (lines.join(self.table("product_keys"), "stock_code")
-                 .join(self.table("dim_country").select("country_name", "country_key"), "country_name")
-                 .join(self.table("dim_invoice").select("invoice_no", "invoice_key"), "invoice_no"))
+        # The customers' lookup reads its lines three times: it comes before the large invoice lookup.
+        lines = (lines.join(self.table("dim_country").select("country_name", "country_key"), "country_name").drop("country_name")
+                 .join(self.table("product_keys"), "stock_code").drop("stock_code"))
         lines = star_lookup(lines, customers, "customer_id", ["customer_key"], {"customer_key": F.lit(schemas.GUEST_KEY)})
-        return lines.drop("stock_code", "country_name", "customer_id")
+        return lines.drop("customer_id").join(self.table("dim_invoice").select("invoice_no", "invoice_key"), "invoice_no")
 
     def write_products(self, changed: list[int], before: str | None) -> str:
         """The product dimension: codes with lines in ``changed`` get their description anew."""
