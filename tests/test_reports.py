@@ -80,3 +80,28 @@ def test_relational_reports_have_no_python(spark):
     for df in (R.q01_monthly_revenue(w), R.q05_revenue_by_country(w), R.q07_rfm(w), R.q10_kpis(w)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_monthly_revenue_is_made_once(spark):
+    """Actuals and forecast read one written table of months, not the lines again."""
+    import __spark_entry__ as E
+    got = E.queries()["q02_actual_vs_forecast"](spark, "/root/testdata/sf0.001")
+    assert {f.split("/")[-2].split("-")[0] for f in got.inputFiles()} == {"monthly"}
+
+
+def test_constraint_checks_read_lines_and_fact_once_written(spark):
+    import __spark_entry__ as E
+    got = E.queries()["dq_constraints"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in got.inputFiles() if "lineitem" in f or "orders" in f]
+
+
+def test_lines_are_exchanged_for_orders_and_parts_only(spark):
+    from tillspark.sources import testdata as TD
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = TD.sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    above_lines = [x for x in plan[:plan.index("lineitem")].splitlines() if "Exchange hashpartitioning" in x]
+    assert len(above_lines) == 2, plan

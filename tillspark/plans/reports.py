@@ -66,7 +66,7 @@ def q01_monthly_revenue(w: Warehouse) -> DataFrame:
 
 def q02_actual_vs_forecast(w: Warehouse) -> DataFrame:
     """Monthly actuals beside forecasts; months with only a forecast are 'Forecast' rows."""
-    actual = w.fact_dated().groupBy("year_month").agg(F.sum("total_revenue").alias("_actual"))
+    actual = w.monthly_revenue.withColumnRenamed("revenue", "_actual")
     fr = w.forecast_results
     if fr is None:
         fr = w.sales.sparkSession.createDataFrame([], schemas.FORECAST_RESULTS)

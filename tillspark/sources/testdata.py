@@ -33,9 +33,11 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .join(customer, orders.o_custkey == customer.c_custkey)
-            .join(nation, customer.c_nationkey == nation.n_nationkey)
+    # Orders meet their customers before the lines do: a customer table too large to be broadcast
+    # then costs an exchange of the orders, not one of the lines.
+    placed = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+              .join(nation, customer.c_nationkey == nation.n_nationkey))
+    return (li.join(placed, li.l_orderkey == orders.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey))
 
 
@@ -147,7 +149,7 @@ def seasonal_naive_forecast(w) -> DataFrame:
     Bounds are 80 % and 120 % of the forecast. Derived from the warehouse's monthly
     actuals (a months-sized table).
     """
-    actual = w.fact_dated().groupBy("year_month").agg(F.sum("total_revenue").alias("_rev"))
+    actual = w.monthly_revenue.withColumnRenamed("revenue", "_rev")
     last = actual.agg(F.max("year_month").alias("_m"))
     start = F.to_date(F.concat(F.col("_m"), F.lit("-01")))
     horizon = last.select(F.explode(F.sequence(F.lit(-5), F.lit(6))).alias("_i"), start.alias("_d")).select(
