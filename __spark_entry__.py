@@ -273,10 +273,11 @@ def _llm():
 
 def _stored(spark, sf) -> WH.Warehouse:
     """The star schema with its report tables, written and read back."""
-    w = _warehouse_once(spark, sf, forecast=True)
-    w.inventory_risk = WH.inventory_risk(w, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST)
+    w = WH.build_warehouse(_sales_cleaned(spark, sf), TD.country_regions(spark, sf))
     path = shared_path(spark, "warehouse")
-    WH.write_warehouse(w, path)
+    WH.write_warehouse(w, path, reports={
+        "forecast_results": TD.seasonal_naive_forecast,
+        "inventory_risk": lambda stored: WH.inventory_risk(stored, high=RISK_HIGH_TEST, medium=RISK_MEDIUM_TEST)})
     return WH.read_warehouse(spark, path)
 
 

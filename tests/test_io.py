@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.operators.cleaning import clean_sales
@@ -90,3 +91,22 @@ def test_read_csv_matches_by_name(spark, tmp_path):
     p.write_text("YearMonth\n2011-02\n")
     with pytest.raises(ValueError, match="missing"):
         files.load_forecast(spark, str(p))
+
+
+def test_stored_reports_come_from_stored_tables(spark, tmp_path):
+    """The source of the lines is read once a load, for the staged lines."""
+    from tillspark.operators import warehouse as WH
+    from tillspark.operators.features import add_features
+    rows = [("1", "A0001", "Lamp", 2, dt.datetime(2010, 12, 1, 8), Decimal("1.5000"), 10, "EIRE")]
+    spark.createDataFrame(rows, schemas.RAW_SALES).write.parquet(str(tmp_path / "source"))
+    built = WH.build_warehouse(add_features(spark.read.parquet(str(tmp_path / "source"))))
+    seen = []
+
+    def risk(stored):
+        seen.extend(f for t in (stored.fact, stored.dim_product, stored.dim_date) for f in t.inputFiles())
+        return WH.inventory_risk(stored)
+    at = WH.write_warehouse(built, str(tmp_path / "wh"), reports={"inventory_risk": risk})
+    assert seen and all(at in f for f in seen)
+    assert WH.read_warehouse(spark, str(tmp_path / "wh")).inventory_risk.count() == 1
+    plan = WH.with_sale_id(built.fact.withColumn("month_key", (F.col("date_key") / 10000).cast("int")))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [month_key" in plan      # the order that the writer of months asks for
