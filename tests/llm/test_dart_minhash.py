@@ -140,3 +140,21 @@ def test_spanning_links_are_fewer_than_nodes():
     found = D.spanning(names, labels, edges)
     assert len(found) == 3  # four classes
     assert D.spanning(names, labels, [(0, 1), (2, 3)]) == []
+
+
+def test_families_join_memberships_by_key_once(spark, monkeypatch):
+    from tillspark.llm import graph as G
+    rng = random.Random(8)
+    rows = [(k, rng.randint(0, 60) + 100 * (k % 3)) for k in range(40) for _ in range(rng.randint(1, 9))] + [(99, 999)]
+    asked = []
+    whole = G.components
+    monkeypatch.setattr(G, "components", lambda links: asked.append(links.count()) or whole(links))
+    got = {r.node: r.label for r in G.families(spark.createDataFrame(rows, "key int, node int")).collect()}
+    want = {n: n for _, n in rows}
+    for _ in rows:
+        for k in {k for k, _ in rows}:
+            mine = [n for x, n in rows if x == k]
+            low = min(want[n] for n in mine)
+            want.update({n: low for n in mine})
+    assert got == want and got[999] == 999
+    assert len(asked) == 1 and asked[0] <= len({(n, min(m for x, m in rows if x == k)) for k, n in rows})

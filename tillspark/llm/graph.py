@@ -10,15 +10,13 @@ from .common import written
 
 def families(members: DataFrame) -> DataFrame:
     """(node, label) of every node of the memberships (key, node): nodes that keys tie together
-    have one label, the least node. A round takes the least label of each key, then of each
-    node's keys, over one row a membership."""
-    labels = written(members.select("node", F.col("node").alias("label")).distinct(), "labels")
-    while True:
-        of_key = members.join(labels, "node").groupBy("key").agg(F.min("label").alias("least"))
-        near = members.join(of_key, "key").groupBy("node").agg(F.min("least").alias("near"))
-        labels, changed = _jumped(labels, near)
-        if not changed:
-            return labels
+    have one label, the least node. The memberships are joined by key once, to tie each node to
+    the least one of its key; most keys of a group have the same least node, so few distinct links
+    are left for the rounds of ``components``."""
+    least = members.groupBy("key").agg(F.min("node").alias("least"))
+    links = members.join(least, "key").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    nodes = members.select("node").distinct().join(components(links), "node", "left")
+    return nodes.select("node", F.coalesce("label", "node").alias("label"))
 
 
 def components(links: DataFrame) -> DataFrame:
