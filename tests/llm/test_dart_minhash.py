@@ -158,3 +158,18 @@ def test_families_join_memberships_by_key_once(spark, monkeypatch):
             want.update({n: low for n in mine})
     assert got == want and got[999] == 999
     assert len(asked) == 1 and asked[0] <= len({(n, min(m for x, m in rows if x == k)) for k, n in rows})
+
+
+def test_rounds_of_components_join_ever_fewer_links(spark, monkeypatch):
+    """Dense classes on a ring, named in mixed order: the joins of all rounds read less than four times the links."""
+    from tillspark.llm import graph as G
+    name = list(range(14 * 12))
+    random.Random(3).shuffle(name)
+    links = [(name[12 * k + i], name[12 * k + j]) for k in range(13) for i in range(12) for j in range(i)]
+    links += [(name[12 * k], name[12 * (k + 1) + 5]) for k in range(12)] + [(name[13 * 12 + i], name[13 * 12 + i + 1]) for i in range(11)]
+    df = spark.createDataFrame(links, "a int, b int")
+    read, join = [], type(df).join
+    monkeypatch.setattr(type(df), "join", lambda self, *on, **kw: read.append(self.count()) or join(self, *on, **kw))
+    got = {r.node: r.label for r in G.components(df).collect()}
+    assert got == {n: min(name[:13 * 12]) if i < 13 * 12 else min(name[13 * 12:]) for i, n in enumerate(name)}
+    assert sum(read) < 4 * len(links)
