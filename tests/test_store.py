@@ -184,3 +184,12 @@ def test_star_lookup_equals_joins_on_a_hot_key(spark):
 
 def test_lines_identify_a_stored_line():
     assert set(LINE) >= set(schemas.RAW_COLUMNS)
+
+
+def test_monthly_revenue_comes_from_the_rollup(grown):
+    """Same rows and types as the sums over the fact, for the forecast of catalog_constraints, without the fact."""
+    w, whole = grown["store"].read(), grown["store"].read()
+    want = WH.Warehouse.monthly_revenue.func(whole)
+    w.fact = None
+    assert w.monthly_revenue.schema == want.schema
+    assert sorted(w.monthly_revenue.collect()) == sorted(want.collect()) and want.count() > 1
